@@ -2,6 +2,7 @@
 
 from eventmart.functions.flags import code, flag
 from eventmart.functions.keys import surrogate_key
+from eventmart.functions.numbers import exact_sum
 from eventmart.functions.time import (
     bucket,
     clock_minutes,
@@ -17,6 +18,7 @@ __all__ = [
     "clock_minutes",
     "code",
     "epoch_micros",
+    "exact_sum",
     "flag",
     "is_weekend",
     "minute_of_day",

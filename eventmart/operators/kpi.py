@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventmart.functions.numbers import exact_sum
 from eventmart.functions.time import clock_minutes, minute_of_day, trunc_ts
 
 DURATION = "duration_minutes"
@@ -51,8 +52,8 @@ def period_totals(
     """Sessions, total and mean of ``value`` per period."""
     return sessions.groupBy(*keys, trunc_ts(unit, ts).alias("period")).agg(
         F.count(F.lit(1)).alias("sessions"),
-        F.round(F.sum(value), 2).alias("total_value"),
-        F.round(F.avg(value), 2).alias("mean_value"),
+        exact_sum(value).alias("total_value"),
+        (exact_sum(value) / F.count(value)).alias("mean_value"),
     )
 
 
@@ -92,7 +93,7 @@ def variance(
 def stay_shares(report: DataFrame, category: str = "stay_category") -> DataFrame:
     """Sessions and minutes per stay category."""
     return report.groupBy(category).agg(
-        F.count(F.lit(1)).alias("sessions"), F.round(F.sum(DURATION), 2).alias("total_minutes")
+        F.count(F.lit(1)).alias("sessions"), exact_sum(DURATION).alias("total_minutes")
     )
 
 
@@ -132,23 +133,27 @@ def rule_in_force(
 ) -> DataFrame:
     """Add the lowest-numbered rule holding at arrival as a struct ``rule`` (or NULL).
 
-    ``rules`` has one row per (key, rule number), and rule numbers are slot numbers, so a
-    key's rules fit into a short array. That keeps the join at one row per session: no
-    fan-out, and no second shuffle to pick the winner.
+    Rules are packed into one array per key, so the join keeps one row per session: no
+    fan-out, and no second shuffle to pick the winner. Of rules with the same day and hours
+    only the lowest can ever win, so a key's array is bounded by the distinct weekly hours,
+    however many rule rows the key has.
     """
     rule_key = rule_key or key
-    packed = rules.groupBy(F.col(rule_key).alias("__rule_key")).agg(
+    hours = rules.select(
+        F.col(rule_key).alias("__rule_key"),
+        F.col(fields["day"]).try_cast("int").alias("day"),
+        clock_minutes(fields["start_time"]).alias("begins"),
+        clock_minutes(fields["end_time"]).alias("ends"),
+        F.struct(
+            F.col(fields["rule_number"]).cast("int").alias("rule_number"),
+            F.col(fields["max_minutes"]).cast("double").alias("max_minutes"),
+            F.col(fields["type"]).alias("type"),
+        ).alias("rule"),
+    ).filter(F.col("begins").isNotNull() & F.col("ends").isNotNull())
+    lowest = hours.groupBy("__rule_key", "day", "begins", "ends").agg(F.min("rule").alias("rule"))
+    packed = lowest.groupBy("__rule_key").agg(
         F.array_sort(
-            F.collect_set(
-                F.struct(
-                    F.col(fields["rule_number"]).cast("int").alias("rule_number"),
-                    F.col(fields["max_minutes"]).cast("double").alias("max_minutes"),
-                    clock_minutes(fields["start_time"]).alias("begins"),
-                    clock_minutes(fields["end_time"]).alias("ends"),
-                    F.col(fields["day"]).try_cast("int").alias("day"),
-                    F.col(fields["type"]).alias("type"),
-                )
-            )
+            F.collect_list(F.struct("rule.*", "day", "begins", "ends"))
         ).alias("__rules")
     )
     holding = F.filter("__rules", lambda r: _covers(r, arrival))
@@ -175,7 +180,7 @@ def overstays(ruled: DataFrame, duration: str = DURATION) -> DataFrame:
 def minutes_by_rule_type(ruled: DataFrame, duration: str = DURATION) -> DataFrame:
     """Sessions and total minutes per type of the rule in force."""
     return ruled.groupBy(F.col("rule.type").alias("rule_type")).agg(
-        F.count(F.lit(1)).alias("sessions"), F.round(F.sum(duration), 2).alias("total_minutes")
+        F.count(F.lit(1)).alias("sessions"), exact_sum(duration).alias("total_minutes")
     )
 
 

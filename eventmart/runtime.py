@@ -45,11 +45,10 @@ def workspace(spark: SparkSession, label: str) -> str:
 
 @contextmanager
 def settings(spark: SparkSession, **conf: str):
-    """Set SQL options for a block and put the old values back afterwards."""
-    names = {k.replace("__", "."): v for k, v in conf.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
+    """Set SQL options, given by their full names, for a block; then put the old values back."""
+    before = {name: spark.conf.get(name, None) for name in conf}
     try:
-        for name, value in names.items():
+        for name, value in conf.items():
             spark.conf.set(name, value)
         yield spark
     finally:
