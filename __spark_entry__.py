@@ -587,7 +587,7 @@ def kpi_zone_occupancy(spark, sf_dir):
 
 
 @_query(f"""{_ZONE_OCCUPANCY},
-capacity AS (SELECT c_mktsegment, CAST(ceil(count(*) / 100.0) AS BIGINT) AS capacity
+capacity AS (SELECT c_mktsegment, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS capacity
              FROM customer GROUP BY 1)
 SELECT o.*, c.capacity FROM occupancy o JOIN capacity c USING (c_mktsegment)
 WHERE o.occupied > c.capacity""")
@@ -596,7 +596,7 @@ def kpi_over_capacity(spark, sf_dir):
     capacity = (
         _read(spark, sf_dir, "customer")
         .groupBy("c_mktsegment")
-        .agg(F.ceil(F.count(F.lit(1)) / 100).alias("capacity"))
+        .agg(F.ceil(F.count(F.lit(1)) / 1000).alias("capacity"))
     )
     return kpi.over_capacity(occupancy, capacity, ["c_mktsegment"])
 

@@ -1,11 +1,11 @@
 """Sessions from a stream of state changes.
 
 A stream cannot look ahead with a window function, and keeping a whole key in one state
-object would put a busy key on one task for good. State is therefore held per (key, time
-slice): it is sorted and emptied when the watermark passes the slice's end, and a busy key
-spreads over as many tasks as it has open slices. Each closed slice emits its rows that
-pair inside it, plus its first and last row; ``sessions`` joins slices end to end from
-those, two rows per key and slice.
+object would put a busy key on one task for good. State is therefore held per time slice
+and key bucket: it is sorted and emptied when the watermark passes the slice's end, so it
+never outgrows a slice, and a busy key moves on to another task with every slice. A closed
+slice emits its rows that pair inside it, plus the first and last row of each key;
+``sessions`` joins slices end to end from those, two rows per key and slice.
 """
 
 from __future__ import annotations
@@ -36,38 +36,42 @@ OUT_TYPES = "bigint, boolean, boolean, bigint, bigint, string, bigint, string".s
 
 
 class SliceRows(StatefulProcessor):
-    """Holds the rows of one (key, slice) and emits its neighbours when the slice is over."""
+    """Holds the rows of one slice and bucket; emits each key's neighbours at its end.
 
-    def __init__(self, key: str, slice_ms: int, start: str, end: str, n_order: int):
-        self.out = Row(key, *OUT_NAMES)
+    A held row is (key, state, order...).
+    """
+
+    def __init__(self, held: T.StructType, slice_ms: int, start: str, end: str):
+        self.held = held
+        self.out = Row(held.fieldNames()[0], *OUT_NAMES)
         self.slice_ms = slice_ms
         self.start = start
         self.end = end
-        self.n_order = n_order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        order = [T.StructField(f"o{i}", T.LongType()) for i in range(self.n_order)]
-        row = T.StructType([*order, T.StructField("state", T.StringType())])
-        self.rows = handle.getListState("rows", row)
+        self.rows = handle.getListState("rows", self.held)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names = [f"__o{i}" for i in range(self.n_order)]
-        self.rows.appendList([(*(r[n] for n in names), r["__state"]) for r in rows])
-        self.handle.registerTimer((key[-1] + 1) * self.slice_ms)
+        names = self.held.fieldNames()
+        self.rows.appendList([tuple(r[n] for n in names) for r in rows])
+        self.handle.registerTimer((key[0] + 1) * self.slice_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = sorted((tuple(r) for r in self.rows.get()), key=lambda r: r[: self.n_order])
+        held = [tuple(r) for r in self.rows.get()]
         self.rows.clear()
-        last = len(held) - 1
+        held.sort(key=lambda r: (r[0] is None, r[0], r[2:]))
+        place = 0
         for i, row in enumerate(held):
-            following = held[i + 1] if i < last else (None,) * len(row)
-            pairs = row[-1] == self.start and following[-1] == self.end
-            if pairs or i in (0, last):
-                yield self.out(
-                    *key, i == 0, i == last, i, row[0], row[-1], following[0], following[-1]
-                )
+            first = i == 0 or held[i - 1][0] != row[0]
+            last = i + 1 == len(held) or held[i + 1][0] != row[0]
+            place = 0 if first else place + 1
+            state, at, then, next_at = row[1], row[2], None, None
+            if not last:
+                then, next_at = held[i + 1][1], held[i + 1][2]
+            if first or last or (state == self.start and then == self.end):
+                yield self.out(row[0], key[0], first, last, place, at, state, next_at, then)
 
 
 def slice_neighbours(
@@ -79,25 +83,33 @@ def slice_neighbours(
     end: str,
     tie_break: Sequence[str] = (),
     slice_ms: int = 3_600_000,
+    buckets: int = 64,
     delay: str = "10 minutes",
 ) -> DataFrame:
     """Stream of the rows that matter for sessions, slice by slice; append it to a table and
-    read that with ``sessions``. ``tie_break`` columns must be whole numbers."""
+    read that with ``sessions``. ``tie_break`` columns must be whole numbers.
+
+    ``slice_ms`` bounds what one state object holds; ``buckets`` is the number of state
+    objects, and so of tasks, that share a slice.
+    """
+    order = {"__o0": epoch_micros(ts)}
+    order |= {f"__o{i}": F.col(c).cast("long") for i, c in enumerate(tie_break, 1)}
     keyed = df.withWatermark(ts, delay).select(
-        F.col(key),
-        F.expr(f"timestampdiff(MICROSECOND, timestamp'1970-01-01 00:00:00', `{ts}`) "
-               f"div {slice_ms * 1000}").alias("slice"),
+        F.floor(epoch_micros(ts) / F.lit(slice_ms * 1000)).alias("slice"),
+        F.pmod(F.hash(key), F.lit(buckets)).alias("__bucket"),
         F.col(ts),
-        epoch_micros(ts).alias("__o0"),
-        *(F.col(c).cast("long").alias(f"__o{i + 1}") for i, c in enumerate(tie_break)),
+        F.col(key),
         F.col(state).alias("__state"),
+        *(c.alias(name) for name, c in order.items()),
     )
-    key_type = df.schema[key].dataType.simpleString()
-    fields = zip((key, *OUT_NAMES), (key_type, *OUT_TYPES), strict=True)
-    out = ", ".join(f"`{n}` {t}" for n, t in fields)
-    return keyed.groupBy(key, "slice").transformWithState(
-        statefulProcessor=SliceRows(key, slice_ms, start, end, 1 + len(tie_break)),
-        outputStructType=out,
+    key_type = df.schema[key].dataType
+    held = T.StructType([T.StructField(key, key_type), T.StructField("__state", T.StringType())])
+    for name in order:
+        held = held.add(name, T.LongType())
+    fields = zip((key, *OUT_NAMES), (key_type.simpleString(), *OUT_TYPES), strict=True)
+    return keyed.groupBy("slice", "__bucket").transformWithState(
+        statefulProcessor=SliceRows(held, slice_ms, start, end),
+        outputStructType=", ".join(f"`{n}` {t}" for n, t in fields),
         outputMode="Append",
         timeMode="EventTime",
     )
