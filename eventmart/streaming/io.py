@@ -77,7 +77,11 @@ def append_to_table(
     name: str | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a table. An existing table's schema is followed: columns
-    it lacks are added to it first."""
+    it lacks are added to it first.
+
+    A parquet table takes one streaming query, whose batch numbers its log remembers; a
+    second query under another checkpoint would have its first batches skipped.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         have = spark.table(table).schema
