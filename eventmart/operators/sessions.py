@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.keys import surrogate_key
 from eventmart.functions.time import minutes_between
-from eventmart.operators.skew import large_keys, slice_of, with_grid
+from eventmart.operators.skew import fits_one_task, in_slices
+
+ROWS_PER_SLICE = 1_000_000
 
 
 def with_next(
@@ -18,7 +20,7 @@ def with_next(
     ts: str,
     carry: Sequence[str],
     tie_break: Sequence[str] = (),
-    rows_per_slice: int | None = 1_000_000,
+    rows_per_slice: int | str | None = "auto",
     max_large_keys: int = 2_000,
 ) -> DataFrame:
     """Add ``next_<c>`` for each column of ``carry``: its value in the key's next row.
@@ -26,20 +28,23 @@ def with_next(
     Order is (``ts``, ``tie_break``), NULL times first. One shuffle on the key; a key above
     ``rows_per_slice`` rows is cut into time slices, each with a copy of the following
     slice's first row behind its own, so every row still meets its true successor.
-    ``rows_per_slice=None`` turns the slicing and its counting pass off.
+
+    ``"auto"`` takes a million rows, and does without slices and their counting pass when
+    the whole input is no more than one scan task reads. ``None`` never cuts.
     """
     order = [ts, *tie_break]
+    if rows_per_slice == "auto":
+        rows_per_slice = None if fits_one_task(df) else ROWS_PER_SLICE
     if rows_per_slice is None:
         return _lead(df, keys, order, carry)
 
-    large = large_keys(df, keys, ts, rows_per_slice, max_large_keys)
-    sliced = with_grid(df, keys, large).withColumn("__slice", slice_of(ts))
+    sliced = in_slices(df, keys, ts, rows_per_slice, max_large_keys)
 
     # First row of each slice, found by partial aggregation over the large keys only, then
-    # handed to the slice before it. NULL is the earliest slice number, as NULL times are.
+    # handed to the slice before it.
     needed = list(dict.fromkeys([*keys, *order, *carry]))
     firsts = (
-        sliced.filter(F.col("__lo").isNotNull())
+        sliced.filter("__large")
         .groupBy(*keys, "__slice")
         .agg(F.min_by(F.struct(*needed), F.struct(*order)).alias("__first"))
     )
@@ -70,7 +75,7 @@ def state_sessions(
     end: str,
     tie_break: Sequence[str] = (),
     names: tuple[str, str] = ("arrival_time", "departure_time"),
-    rows_per_slice: int | None = 1_000_000,
+    rows_per_slice: int | str | None = "auto",
     max_large_keys: int = 2_000,
 ) -> DataFrame:
     """One row per ``start`` state whose very next row of the same key is an ``end`` state.

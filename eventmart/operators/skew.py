@@ -54,6 +54,42 @@ def with_grid(df: DataFrame, keys: Sequence[str], large: DataFrame) -> DataFrame
     return df.join(F.broadcast(large), match, "left").drop(*drop)
 
 
+def in_slices(
+    df: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int, max_keys: int
+) -> DataFrame:
+    """Add ``__slice`` and ``__large`` (whether the key was cut).
+
+    A first grid cuts large keys evenly; slices that a burst still left too full get a
+    second, finer grid of their own. Slices of a key sort in time order, NULL times first.
+    """
+    grid = ["__lo", "__width", "__last"]
+    even = large_keys(df, keys, ts, rows_per_slice, max_keys)
+    coarse = (
+        with_grid(df, keys, even)
+        .withColumns({"__coarse": slice_of(ts), "__large": F.col("__lo").isNotNull()})
+        .drop(*grid)
+    )
+    parts = [*keys, "__coarse"]
+    bursts = large_keys(coarse.filter("__large"), parts, ts, rows_per_slice, max_keys)
+    return (
+        with_grid(coarse, parts, bursts)
+        .withColumn("__slice", F.struct("__coarse", slice_of(ts).alias("fine")))
+        .drop("__coarse", *grid)
+    )
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """Whether the planner sizes ``df`` below what one scan task reads anyway.
+
+    Then no key of it can overload a task, and looking for large keys is not worth a pass.
+    """
+    limit = str(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("bB")
+    if not limit.isdigit():
+        return False
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= int(limit)
+
+
 def slice_of(ts: str | Column) -> Column:
     """Slice number from the grid columns: 0 for ordinary keys, clipped to the grid for
     times outside it, NULL for a NULL time of a large key."""

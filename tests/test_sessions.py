@@ -5,9 +5,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from eventmart import runtime
 from eventmart.operators.dedup import distinct_rows
 from eventmart.operators.sessions import state_sessions, with_next
-from eventmart.operators.skew import large_keys
+from eventmart.operators.skew import in_slices, large_keys
 
 T0 = datetime(2024, 1, 6, 10, 0)
 DDL = "bay int, status string, at timestamp_ntz, id int"
@@ -122,7 +123,22 @@ def test_more_hot_keys_than_the_limit_changes_nothing(spark):
     assert cut.exceptAll(whole).isEmpty()
 
 
-def test_slices_spread_the_window_over_the_key_and_slice(spark):
-    df = spark.createDataFrame([(1, "P", at(0), 0)], DDL)
-    plan = with_next(df, ["bay"], "at", ["at"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "__slice" in plan and "broadcast" in plan
+def test_a_burst_is_cut_again(spark):
+    """Most rows of the key fall into one of its even slices."""
+    times = [T0 + timedelta(seconds=s) for s in range(400)] + [at(60 * 24 * d) for d in range(1, 50)]
+    df = spark.createDataFrame([(1, "PU"[i % 2], t, i) for i, t in enumerate(times)], DDL)
+    cut = in_slices(df, ["bay"], "at", rows_per_slice=20, max_keys=10)
+    assert cut.groupBy("__slice").count().agg(F.max("count")).first()[0] <= 20
+    one = with_next(df, ["bay"], "at", ["id"], ["id"], rows_per_slice=20)
+    two = with_next(df, ["bay"], "at", ["id"], ["id"], rows_per_slice=None)
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def test_auto_looks_for_large_keys_only_in_large_inputs(spark):
+    def plan():
+        df = spark.range(10).selectExpr("id AS bay", "timestamp_micros(id) AS at")
+        return with_next(df, ["bay"], "at", ["at"])._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "__slice" not in plan()
+    with runtime.settings(spark, **{"spark.sql.files.maxPartitionBytes": "1"}):
+        assert "__slice" in plan() and "broadcast" in plan()
