@@ -22,6 +22,7 @@ def with_next(
     tie_break: Sequence[str] = (),
     rows_per_slice: int | str | None = "auto",
     max_large_keys: int = 2_000,
+    collapse_copies: bool = False,
 ) -> DataFrame:
     """Add ``next_<c>`` for each column of ``carry``: its value in the key's next row.
 
@@ -31,6 +32,10 @@ def with_next(
 
     ``"auto"`` takes a million rows, and does without slices and their counting pass when
     the whole input is no more than one scan task reads. ``None`` never cuts.
+
+    Time cannot separate exact copies of one row. ``collapse_copies`` keeps one copy of each
+    row of a large key, by an aggregation that starts before the shuffle; use it where a
+    copy behind its original changes nothing.
     """
     order = [ts, *tie_break]
     if rows_per_slice == "auto":
@@ -55,12 +60,19 @@ def with_next(
         .filter(F.col("__place") > 1)
         .select("__first.*", F.col("__before").alias("__slice"), F.lit(True).alias("__closing"))
     )
-    rows = sliced.select(*df.columns, "__slice", F.lit(False).alias("__closing"))
+    rows = _rows(df, sliced)
+    if collapse_copies:
+        large = sliced.filter("__large").dropDuplicates()
+        rows = _rows(df, sliced.filter("NOT __large")).unionByName(_rows(df, large))
     rows = rows.unionByName(closing, allowMissingColumns=True)
     paired = _lead(rows, [*keys, "__slice"], order, carry)
     return paired.filter(~F.col("__closing")).drop("__slice", "__closing")
 
 
+def _rows(df: DataFrame, sliced: DataFrame) -> DataFrame:
+    return sliced.select(*df.columns, "__slice", F.lit(False).alias("__closing"))
+
+
 def _lead(df: DataFrame, keys, order, carry) -> DataFrame:
     following = Window.partitionBy(*keys).orderBy(*order)
     return df.select("*", *(F.lead(c).over(following).alias(f"next_{c}") for c in carry))
@@ -87,7 +99,10 @@ def state_sessions(
     Output: session_id, key, arrival, departure, duration_minutes.
     """
     rows = df.select(*dict.fromkeys([key, state, ts, *tie_break]))
-    stepped = with_next(rows, [key], ts, [state, ts], tie_break, rows_per_slice, max_large_keys)
+    # A copied reading neither starts nor ends a second session, unless start and end agree.
+    stepped = with_next(
+        rows, [key], ts, [state, ts], tie_break, rows_per_slice, max_large_keys, start != end
+    )
     arrival, departure = names
     return (
         stepped.filter(

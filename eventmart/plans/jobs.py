@@ -52,6 +52,44 @@ def load_export(
         sinks.dual_write(rows, lambda df: jdbc(df, f"raw_{prefix}", mode), to_archive)
 
 
+def load_new_exports(
+    spark: SparkSession,
+    raw_dir: str,
+    prefix: str,
+    archive: str,
+    checkpoint: str,
+    consumed_dir: str | None = None,
+    jdbc: Callable[[DataFrame, str, str], None] | None = None,
+) -> None:
+    """``load_export`` for event exports that remembers which files it has read.
+
+    Each batch of new files goes to its own ``load=<number>`` folder, so a batch that is
+    repeated after a failure replaces itself. ``consumed_dir`` moves read files away.
+    """
+    raw = io.read_json_stream(
+        spark,
+        raw_dir,
+        parking.RAW[prefix],
+        archive_dir=consumed_dir,
+        multi_line=True,
+        glob=files.snapshot_glob(prefix),
+    )
+
+    def land(batch: DataFrame, number: int) -> None:
+        def to_archive(df: DataFrame) -> None:
+            sinks.write_parquet(df, f"{archive}/{prefix}/load={number}", "overwrite")
+
+        if jdbc is None:
+            to_archive(landed_rows(batch))
+        else:
+            sinks.dual_write(
+                landed_rows(batch), lambda df: jdbc(df, f"raw_{prefix}", "append"), to_archive
+            )
+
+    writer = raw.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    io.drain(writer.trigger(availableNow=True).start())
+
+
 def upsert_export(
     spark: SparkSession, raw_dir: str, prefix: str, table: str, keys: Sequence[str]
 ) -> None:

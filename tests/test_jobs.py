@@ -185,6 +185,22 @@ def test_event_export_appends_reference_replaces(spark, tmp_path):
     assert landed.first()["location"] == '{"lon":1.5,"lat":2.5}'
 
 
+def test_new_exports_are_read_once_and_moved(spark, tmp_path):
+    raw, archive = tmp_path / "raw", f"{tmp_path}/archive"
+    raw.mkdir()
+    places = (str(raw), "parking_sensors", archive, f"{tmp_path}/cp", f"{tmp_path}/consumed")
+    reading = {"kerbsideid": 1, "status_description": "Present"}
+    seen = []
+    for n, expected in ((1, 1), (1, 1), (2, 2), (3, 3)):
+        export(raw, "parking_sensors", f"2024010{n}_000000", [reading, reading])
+        jobs.load_new_exports(
+            spark, *places, jdbc=lambda df, table, mode: seen.append((table, mode, df.count()))
+        )
+        assert spark.read.parquet(f"{archive}/parking_sensors").count() == expected
+    assert seen == [("raw_parking_sensors", "append", 1)] * 3
+    assert list((tmp_path / "consumed").rglob("*.json"))
+
+
 def test_upsert_export(spark, raw):
     sinks.ensure_database(spark, "ops")
     for _ in range(2):

@@ -123,6 +123,21 @@ def test_more_hot_keys_than_the_limit_changes_nothing(spark):
     assert cut.exceptAll(whole).isEmpty()
 
 
+def test_copies_of_one_row_do_not_reach_one_task(spark):
+    """A third of the input is one reading, sent again and again."""
+    rows = [(1, "PU"[m % 2], at(m), m) for m in range(60)] + [(2, "P", at(0), 0), (2, "U", at(4), 1)]
+    df = spark.createDataFrame(rows + [rows[20]] * 30 + [rows[-1]] * 2, DDL)
+    kw = {"key": "bay", "state": "status", "ts": "at", "start": "P", "end": "U"}
+    cut = state_sessions(df, **kw, tie_break=["id"], rows_per_slice=10)
+    whole = state_sessions(df, **kw, tie_break=["id"], rows_per_slice=None)
+    assert cut.count() == whole.count() == 31
+    assert cut.exceptAll(whole).isEmpty()
+    same_state = state_sessions(
+        df, "bay", "status", "at", "P", "P", ["id"], rows_per_slice=10
+    )
+    assert same_state.count() == 30
+
+
 def test_a_burst_is_cut_again(spark):
     """Most rows of the key fall into one of its even slices."""
     times = [T0 + timedelta(seconds=s) for s in range(400)] + [at(60 * 24 * d) for d in range(1, 50)]
