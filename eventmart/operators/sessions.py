@@ -34,8 +34,8 @@ def with_next(
     the whole input is no more than one scan task reads. ``None`` never cuts.
 
     Time cannot separate exact copies of one row. ``collapse_copies`` keeps one copy of each
-    row of a large key, by an aggregation that starts before the shuffle; use it where a
-    copy behind its original changes nothing.
+    row of an overfull slice, by an aggregation that starts before the shuffle; use it where
+    a copy behind its original changes nothing.
     """
     order = [ts, *tie_break]
     if rows_per_slice == "auto":
@@ -62,8 +62,8 @@ def with_next(
     )
     rows = _rows(df, sliced)
     if collapse_copies:
-        large = sliced.filter("__large").dropDuplicates()
-        rows = _rows(df, sliced.filter("NOT __large")).unionByName(_rows(df, large))
+        dense = sliced.filter("__dense").dropDuplicates()
+        rows = _rows(df, sliced.filter("NOT __dense")).unionByName(_rows(df, dense))
     rows = rows.unionByName(closing, allowMissingColumns=True)
     paired = _lead(rows, [*keys, "__slice"], order, carry)
     return paired.filter(~F.col("__closing")).drop("__slice", "__closing")

@@ -57,7 +57,7 @@ def with_grid(df: DataFrame, keys: Sequence[str], large: DataFrame) -> DataFrame
 def in_slices(
     df: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int, max_keys: int
 ) -> DataFrame:
-    """Add ``__slice`` and ``__large`` (whether the key was cut).
+    """Add ``__slice``, ``__large`` (the key was cut) and ``__dense`` (its slice was cut again).
 
     A first grid cuts large keys evenly; slices that a burst still left too full get a
     second, finer grid of their own. Slices of a key sort in time order, NULL times first.
@@ -74,6 +74,7 @@ def in_slices(
     return (
         with_grid(coarse, parts, bursts)
         .withColumn("__slice", F.struct("__coarse", slice_of(ts).alias("fine")))
+        .withColumn("__dense", F.col("__lo").isNotNull())
         .drop("__coarse", *grid)
     )
 
