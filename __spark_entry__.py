@@ -17,6 +17,7 @@ from eventmart.functions import code, epoch_micros, flag, minutes_between
 from eventmart.operators import cdc, clean, dedup, history, kpi, merge, quality, reshape
 from eventmart.operators.sessions import state_sessions
 from eventmart.plans import marts
+from eventmart.sources import files, sinks
 from eventmart.streaming import io, layers, windows
 from eventmart.streaming import sessions as stream_sessions
 
@@ -318,6 +319,18 @@ def replace_by_key(spark, sf_dir):
     return merge.replace_by_key(orders, batch, ["o_custkey", "o_orderpriority"])
 
 
+@_query("SELECT * FROM orders")
+def dual_write(spark, sf_dir):
+    """One frame into two sinks, read back from the partitioned one."""
+    base = runtime.workspace(spark, "dual")
+    sinks.dual_write(
+        _read(spark, sf_dir, "orders"),
+        lambda df: sinks.write_parquet(df, f"{base}/by_status", partition_by=["o_orderstatus"]),
+        lambda df: sinks.write_parquet(df, f"{base}/plain"),
+    )
+    return files.read_parquet(spark, f"{base}/by_status")
+
+
 # --- history -----------------------------------------------------------------------------
 
 _DAYS = ["1998-01-01 00:00:00", "2000-01-01 00:00:00", "2001-06-01 00:00:00"]
