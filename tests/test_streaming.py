@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -29,7 +30,9 @@ def landing(tmp_path):
                             "id": n})
                 for b, s, m, n in rows
             ]
-            (folder / f"{i:03d}.json").write_text("\n".join(lines))
+            file = folder / f"{i:03d}.json"
+            file.write_text("\n".join(lines))
+            os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))  # the order files are read in
         return str(folder)
 
     return write
