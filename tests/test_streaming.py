@@ -60,15 +60,16 @@ def test_windows_close_with_the_watermark_and_late_rows_are_dropped(spark, landi
     path = landing(
         [(1, "P", 0, 0), (1, "U", 10, 1)],
         [(1, "P", 200, 2)],
-        [(1, "P", 20, 3)],  # its window has closed
-        [(1, "U", 400, 4)],
+        [(1, "P", 210, 3)],
+        [(1, "P", 20, 4)],  # its window has closed
+        [(1, "U", 400, 5)],
     )
     shares = windows.occupancy_windows(
         stream(spark, path, max_files=1), "at", ["bay"], "status", "P", "1 hour", delay="10 minutes"
     )
     out = drained(spark, shares, tmp_path)
     same(
-        out.select("window_start", "readings", "occupied_share"), (at(0), 2, 0.5), (at(180), 1, 1.0)
+        out.select("window_start", "readings", "occupied_share"), (at(0), 2, 0.5), (at(180), 2, 1.0)
     )
     same(windows.alerts(out, 0.75).select("window_start"), (at(180),))
 
