@@ -370,7 +370,8 @@ h1 AS (SELECT *, TIMESTAMP '{_DAYS[0]}' AS valid_from, CAST(NULL AS TIMESTAMP) A
 {_apply_sql("h3", "h2", "s3", _DAYS[2])}
 SELECT * FROM h3""")
 def scd2_apply(spark, sf_dir):
-    """Each customer's latest order as seen on three days, kept as history."""
+    """Each customer's latest order as seen on three days, kept as history. A snapshot's
+    result is written before the next one reads it, as between two runs."""
     orders = _read(spark, sf_dir, "orders")
 
     def snapshot(day):
@@ -378,11 +379,12 @@ def scd2_apply(spark, sf_dir):
         latest = dedup.latest_by(seen, ["o_custkey"], ["o_orderdate"], ["o_orderkey"])
         return latest.select("o_custkey", "o_orderstatus", "o_orderpriority")
 
-    hist = history.start_history(snapshot(_DAYS[0]), _DAYS[0])
-    for day in _DAYS[1:]:
+    def step(hist, day):
         checked = ["o_orderstatus", "o_orderpriority"]
-        hist = history.scd2_apply(hist, snapshot(day), ["o_custkey"], checked, day)
-    return hist
+        return history.scd2_apply(hist, snapshot(day), ["o_custkey"], checked, day)
+
+    first = history.start_history(snapshot(_DAYS[0]), _DAYS[0])
+    return step(runtime.written(step(first, _DAYS[1]), "history"), _DAYS[2])
 
 
 _VERSIONS = """versions AS (
@@ -783,12 +785,15 @@ def stream_alerts(spark, sf_dir):
     return _zoneless(rows, "window_start", "window_end")
 
 
-@_query(f"""WITH settled AS (
+_SETTLED = f"""WITH settled AS (
   SELECT * FROM events
   WHERE ts < (SELECT date_trunc('day', max(ts) - INTERVAL 10 MINUTE) FROM events)),
 {_SESSIONS.replace("FROM events)", "FROM settled)")}
-SELECT * FROM sessions""")
-def stream_state_sessions(spark, sf_dir):
+SELECT * FROM sessions"""
+
+
+@_query(_SETTLED, "stream_sessions")
+def drained_sessions(spark, sf_dir):
     """Sessions of all whole days the watermark has closed."""
     rows = _drained(
         spark,

@@ -84,6 +84,8 @@ def fits_one_task(df: DataFrame) -> bool:
 
     Then no key of it can overload a task, and looking for large keys is not worth a pass.
     """
+    if not hasattr(df, "_jdf"):  # no planner at hand, as with a remote session
+        return False
     limit = str(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("bB")
     if not limit.isdigit():
         return False

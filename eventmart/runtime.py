@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are planned for. AQE re-plans joins from measured sizes,
 # splits skewed join partitions and coalesces small ones, so the shuffle partition
@@ -43,6 +43,13 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{tempfile.mkdtemp(prefix='eventmart-')}/{label}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a fresh workspace folder and read back, which cuts its lineage."""
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def settings(spark: SparkSession, **conf: str):
     """Set SQL options, given by their full names, for a block; then put the old values back."""

@@ -10,16 +10,16 @@ slice emits its rows that pair inside it, plus the first and last row of each ke
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmart.functions.keys import surrogate_key
 from eventmart.functions.time import epoch_micros, minutes_between
 from eventmart.operators.sessions import with_next
+from eventmart.streaming.slice_rows import OUT_NAMES, OUT_TYPES, SliceRows
 
 # Needed by the stateful operator; pass to ``runtime.settings`` around starting the query.
 STATE_STORE = {
@@ -29,51 +29,6 @@ STATE_STORE = {
 }
 
 
-OUT_NAMES = (
-    "slice", "is_first", "is_last", "place", "at_us", "state", "next_us", "next_state",
-)
-OUT_TYPES = "bigint, boolean, boolean, bigint, bigint, string, bigint, string".split(", ")
-
-
-class SliceRows(StatefulProcessor):
-    """Holds the rows of one slice and bucket; emits each key's neighbours at its end.
-
-    A held row is (key, state, order...).
-    """
-
-    def __init__(self, held: T.StructType, slice_ms: int, start: str, end: str):
-        self.held = held
-        self.out = Row(held.fieldNames()[0], *OUT_NAMES)
-        self.slice_ms = slice_ms
-        self.start = start
-        self.end = end
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("rows", self.held)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names = self.held.fieldNames()
-        self.rows.appendList([tuple(r[n] for n in names) for r in rows])
-        self.handle.registerTimer((key[0] + 1) * self.slice_ms)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = [tuple(r) for r in self.rows.get()]
-        self.rows.clear()
-        held.sort(key=lambda r: (r[0] is None, r[0], r[2:]))
-        place = 0
-        for i, row in enumerate(held):
-            first = i == 0 or held[i - 1][0] != row[0]
-            last = i + 1 == len(held) or held[i + 1][0] != row[0]
-            place = 0 if first else place + 1
-            state, at, then, next_at = row[1], row[2], None, None
-            if not last:
-                then, next_at = held[i + 1][1], held[i + 1][2]
-            if first or last or (state == self.start and then == self.end):
-                yield self.out(row[0], key[0], first, last, place, at, state, next_at, then)
-
-
 def slice_neighbours(
     df: DataFrame,
     key: str,
