@@ -7,11 +7,17 @@ depends on the order of rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The package lies next to this file, which may be loaded by path from another folder.
+if (_HERE := str(Path(__file__).resolve().parent)) not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from eventmart import runtime
 from eventmart.functions import code, epoch_micros, flag, minutes_between
 from eventmart.operators import cdc, clean, dedup, history, kpi, merge, quality, reshape
