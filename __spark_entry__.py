@@ -27,6 +27,15 @@ from eventmart.sources import files, sinks
 from eventmart.streaming import io, layers, windows
 from eventmart.streaming import sessions as stream_sessions
 
+# The corpus operators and their pipeline can be left out as a whole.
+try:
+    import corpus_pipeline
+    from eventmart.llm import queries as _LLM
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "eventmart.llm"):
+        raise
+    _LLM = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
@@ -50,12 +59,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return _QUERIES["state_sessions"](spark, "/root/testdata/sf0.001")
 
 
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | (_LLM.QUERIES if _LLM else {}) | ({"pipeline": _pipeline} if _LLM else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | (_LLM.SQL if _LLM else {})
 
 
 # --- sessions and the wide report -----------------------------------------------------

@@ -16,10 +16,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._QUERIES) == set(entry._SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry._QUERIES))
 def test_same_rows_as_sql(spark, con, name):
     rows = compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR)
     assert isinstance(rows, int), rows
