@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from eventmart.llm import jaccard_join, line_dedup, mixing, piece_codec, quality_rules
+from eventmart.llm import ego_join, jaccard_join, line_dedup, mixing, piece_codec, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,33 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@_query(
+    """
+    WITH RECURSIVE usable AS (
+      SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+      SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+    ), reached(id, other) AS (
+      SELECT vec_id, vec_id FROM embeddings
+      UNION
+      SELECT r.id, l.y FROM reached r JOIN links l ON l.x = r.other
+    ), counted AS (
+      SELECT x, count(*) AS n FROM links GROUP BY x
+    )
+    SELECT r.id AS vec_id, coalesce(max(c.n), 0)::BIGINT AS n_links,
+           min(r.other) AS component_id, r.id = min(r.other) AS kept
+    FROM reached r LEFT JOIN counted c ON c.x = r.id GROUP BY r.id
+    """
+)
+def op1_ego_join(spark, sf_dir):
+    return ego_join.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 @_query(
     r"""
     WITH lines AS (
