@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from eventmart.llm import ego_join, jaccard_join, line_dedup, mixing, piece_codec, quality_rules
+from eventmart.llm import (
+    ego_join,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    pii_crf,
+    piece_codec,
+    quality_rules,
+    secret_scan,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,6 +100,36 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(docs)
 
 
+def _spans(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    return found.select(
+        "doc_id",
+        *[secret_scan.counted("base_spans", k).alias(f"n_{k}") for k in kinds],
+        F.sha2(secret_scan.joined("base_spans"), 256).alias("base_sha256"),
+        secret_scan.joined("spans").alias("spans"),
+    )
+
+
+@_query()
+def op4_secret_scan(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return _spans(secret_scan.scan(docs), secret_scan.KINDS)
+
+
+@_query()
+def op6_pii_crf(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return _spans(pii_crf.scan(docs), pii_crf.KINDS)
+
+
+@_query()
+def op9_toxicity(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    grammar = toxicity.train(docs, _read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, grammar).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
+
+
 @_query()
 def op5_sentencepiece(spark, sf_dir):
     coded = piece_codec.round_trip(_read(spark, sf_dir, "documents").select("doc_id", "text"))
