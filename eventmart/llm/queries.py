@@ -17,6 +17,7 @@ from eventmart.llm import (
     piece_codec,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     toxicity,
 )
 
@@ -100,6 +101,18 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(docs)
 
 
+@_query()
+def op3_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.repeated_spans(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["words"]).alias("n_words"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+        .alias("spans"),
+    )
+
+
 def _spans(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return found.select(
         "doc_id",
