@@ -10,8 +10,8 @@ sorted shingle arrays.
 
 Tiles are worked in two rounds, so that a group of near copies does not emit all its pairs.
 First every member is tried against the smallest of its tile. Pairs of different components
-that share a tile of three or more follow; tiles of many documents are dealt to several tasks
-block by block. Every pair that reaches the threshold ends in one component either way.
+that share a tile of three or more follow: tiles with one smallest id are joined to a unit,
+and units of many documents are dealt to several tasks block by block. Every pair that reaches the threshold ends in one component either way.
 
 The rare-first order comes from document counts of all shingles. Only its most frequent
 ``MAX_COMMON`` shingles are handed to tasks; any order gives the same links, so this bound
@@ -34,8 +34,8 @@ PERCENT = 80
 COMMON, MAX_COMMON = 24, 1_000_000
 #: Shingles counted together before they are shuffled, and per group after.
 COUNT_BATCH, COUNT_GROUP = 2_000_000, 2_000_000
-#: Rows of one tile held at once; rows of a block, and blocks of a tile dealt to one task.
-HELD, BLOCK, DEALT = 100_000, 512, 4_096
+#: Rows of one tile held at once, rows of a block, and rows of a unit on a side of one task.
+HELD, BLOCK, DEALT = 100_000, 512, 512
 
 
 def _needed(n: np.ndarray) -> np.ndarray:
@@ -44,8 +44,8 @@ def _needed(n: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Bits at hashed places, packed; their number is a power of two near the set's size."""
-    width = 1 << max(6, int(len(hashes) - 1).bit_length())
+    """Bits at hashed places, packed: a power of two, at least four for each element."""
+    width = 1 << max(6, int(4 * len(hashes) - 1).bit_length())
     bits = np.zeros(width, bool)
     bits[(hashes >> np.uint64(20)) & np.uint64(width - 1)] = True
     return np.packbits(bits, bitorder="little")
@@ -76,16 +76,17 @@ def _signatures(batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
     )
 
 
-def _counted(n: int, groups: int):
-    """Shingle counts of a task, as sorted keys and counts per hash range."""
-    low = -(-(1 << 64) // groups)
+def _counted(n: int, groups: int, bits: int):
+    """Shingle counts of a task, as sorted keys and counts per range of keys."""
+    low = -(-(1 << bits) // groups)
 
     def pack(held: list[np.ndarray]):
-        keys, times = np.unique(np.concatenate(held), return_counts=True)
+        keys = np.concatenate(held) >> np.uint64(64 - bits)
+        keys, times = np.unique(keys, return_counts=True)
         cuts = np.searchsorted(keys, np.arange(1, groups, dtype=object) * low)
         ranges = [(a, b) for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True)]
         some = [(g, a, b) for g, (a, b) in enumerate(ranges) if b > a]
-        # the upper bytes follow from the range and the order; byte planes compress well
+        # steps between neighbours are small numbers; their byte planes compress well
         planes = [np.diff(keys[a:b], prepend=np.uint64(g * low)) for g, a, b in some]
         return pa.RecordBatch.from_pydict(
             {
@@ -118,9 +119,9 @@ def _counted(n: int, groups: int):
     return run
 
 
-def _summed(groups: int):
-    """Common shingles of each hash range; rows come sorted by range."""
-    low = -(-(1 << 64) // groups)
+def _summed(groups: int, bits: int):
+    """Common keys of each range; rows come sorted by range."""
+    low = -(-(1 << bits) // groups)
 
     def merge(part, held):
         keys = np.concatenate([k for k, _ in held])
@@ -131,7 +132,7 @@ def _summed(groups: int):
         total = np.add.reduceat(times, first)
         some = total >= COMMON
         return pa.RecordBatch.from_pydict(
-            {"shingle": keys[first][some].view(np.int64), "df": total[some].astype(np.int64)}
+            {"key": keys[first][some].view(np.int64), "df": total[some].astype(np.int64)}
         )
 
     def run(batches):
@@ -157,20 +158,28 @@ def _summed(groups: int):
     return run
 
 
+def key_bits(total: int) -> int:
+    """Leading bits of a shingle's hash that count it: ten more than number all shingles.
+
+    Two shingles that share a key only share a place in the order.
+    """
+    return min(62, max(24, int(total).bit_length() + 10))
+
+
 def common_shingles(docs: DataFrame, n: int, total: int) -> DataFrame:
-    """(shingle, df) of all shingles in at least ``COMMON`` documents; ``total`` sizes tasks."""
-    groups = max(16, total // COUNT_GROUP)
+    """(key, df) of the keys of at least ``COMMON`` documents; ``total`` sizes the tasks."""
+    groups, bits = max(16, total // COUNT_GROUP), key_bits(total)
     counts = docs.select("text").mapInArrow(
-        _counted(n, groups), "part int, keys binary, times binary"
+        _counted(n, groups, bits), "part int, keys binary, times binary"
     )
     return (
         counts.repartition("part")
         .sortWithinPartitions("part")
-        .mapInArrow(_summed(groups), "shingle bigint, df bigint")
+        .mapInArrow(_summed(groups, bits), "key bigint, df bigint")
     )
 
 
-def _prefixes(n: int, common):
+def _prefixes(n: int, common, bits: int):
     """(shingle, doc_id, n) for the prefix of each document under the rare-first order."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -179,9 +188,10 @@ def _prefixes(n: int, common):
         for s in shingles(Texts(batch.column("text"), lower=True), n):
             p = len(s) - int(_needed(len(s))) + 1 if len(s) else 0
             if len(frequent) and p:
-                at = np.searchsorted(frequent["key"], s)
+                key = s >> np.uint64(64 - bits)
+                at = np.searchsorted(frequent["key"], key)
                 at[at == len(frequent)] = 0
-                hit = frequent["key"][at] == s
+                hit = frequent["key"][at] == key
                 if hit.any():
                     late = s[hit][np.argsort(frequent["rank"][at[hit]])]
                     s = np.concatenate([s[~hit], late])
@@ -223,7 +233,7 @@ def _tiles(batches):
         member = np.flatnonzero(lead != np.arange(len(lead)))
         pairs = np.unique(np.stack([doc[lead[member]], doc[member]], 1), axis=0)
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        many = np.flatnonzero((run_length >= 3) | ~whole)
+        many = np.flatnonzero(run_length >= 3) if whole else np.arange(len(lead))
         last_lead = lead[-1]
         return last_lead, pa.RecordBatch.from_pydict(
             {
@@ -256,10 +266,10 @@ def _tiles(batches):
 
 
 def _blocks(batches):
-    """Pairs of different components within the bitmap bound, tile by tile.
+    """Pairs of different components within the bitmap bound, unit by unit.
 
-    Rows come sorted by tile (shingle, g1, g2), size and id. Rows of a tile are at most about
-    ``2 * DEALT``; larger runs were dealt to several tiles by ``side``.
+    Rows come sorted by (unit, g1, g2), size and id. These are at most about ``2 * DEALT``;
+    larger units were dealt by ``side``.
     """
 
     def folded(rows, width):
@@ -294,28 +304,22 @@ def _blocks(batches):
                 size = n[i][:, None] + n[j][None]
                 ok &= (100 + PERCENT) * ((size - differ) // 2) >= PERCENT * size
                 at_i, at_j = np.nonzero(ok)
-                yield from zip(doc[i][at_i].tolist(), doc[j][at_j].tolist(), strict=True)
-
-    def flush(rows):
-        found = sorted(set(pairs_of(rows)))
-        return pa.RecordBatch.from_pydict(
-            {
-                "a": pa.array([min(p) for p in found], pa.int64()),
-                "b": pa.array([max(p) for p in found], pa.int64()),
-            }
-        )
+                x, y = doc[i][at_i], doc[j][at_j]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
+                )
 
     tile, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            key = (row["shingle"], row["g1"], row["g2"])
+            key = (row["unit"], row["g1"], row["g2"])
             if key != tile and rows:
-                yield flush(rows)
+                yield from pairs_of(rows)
                 rows = []
             tile = key
             rows.append(row)
     if rows:
-        yield flush(rows)
+        yield from pairs_of(rows)
 
 
 def _exact(n: int):
@@ -419,15 +423,15 @@ def near_duplicates(
 
     total = sig.agg(F.sum("n_shingles")).first()[0] or 0
     common = runtime.written(common_shingles(docs, words, total), "jaccard-common")
-    top = common.orderBy(F.desc("df"), "shingle").limit(MAX_COMMON)
+    top = common.orderBy(F.desc("df"), "key").limit(MAX_COMMON)
     table = top.toArrow()
-    order = np.argsort(table.column("shingle").to_numpy().view(np.uint64))
+    order = np.argsort(table.column("key").to_numpy().view(np.uint64))
     frequent = np.empty(len(order), [("key", np.uint64), ("rank", np.int64)])
-    frequent["key"] = table.column("shingle").to_numpy().view(np.uint64)[order]
+    frequent["key"] = table.column("key").to_numpy().view(np.uint64)[order]
     frequent["rank"] = -order  # rarest first
     shared = spark.sparkContext.broadcast(frequent)
 
-    rows = reps.mapInArrow(_prefixes(words, shared), "shingle bigint, doc_id bigint, n int")
+    rows = reps.mapInArrow(_prefixes(words, shared, key_bits(total)), "shingle bigint, doc_id bigint, n int")
     tiles = runtime.written(
         rows.repartition("shingle")
         .sortWithinPartitions("shingle", "n", "doc_id")
@@ -447,23 +451,30 @@ def near_duplicates(
         "shingle", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("comp")
     )
     many = runtime.written(many.distinct(), "jaccard-tiles")
+    # open tiles with one smallest id overlap widely: their documents form one unit, so that
+    # a pair is tried once and not in each tile that it shares
     open_ = runtime.written(
         many.groupBy("shingle")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("doc_id").alias("unit"))
         .where("lo != hi")
-        .select("shingle", F.ceil(F.col("m") / F.lit(DEALT)).cast("int").alias("k")),
+        .select("shingle", "unit"),
         "jaccard-open",
     )
-    dealt = many.join(open_, "shingle").join(bits, "doc_id").select(
-        "shingle", "doc_id", "n", "comp", "bitmap", "k",
+    units = runtime.written(
+        many.join(open_, "shingle").select("unit", "doc_id", "n", "comp").distinct(),
+        "jaccard-units",
+    )
+    sizes = units.groupBy("unit").agg(F.ceil(F.count("*") / F.lit(DEALT)).cast("int").alias("k"))
+    dealt = units.join(runtime.written(sizes, "jaccard-sizes"), "unit").join(bits, "doc_id").select(
+        "unit", "doc_id", "n", "comp", "bitmap", "k",
         F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int").alias("side"),
     )
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     dealt = dealt.withColumns({"g1": F.least("side", "other"), "g2": F.greatest("side", "other")})
     second = (
         dealt.drop("other", "k")
-        .repartition("shingle", "g1", "g2")
-        .sortWithinPartitions("shingle", "g1", "g2", "n", "doc_id")
+        .repartition("unit", "g1", "g2")
+        .sortWithinPartitions("unit", "g1", "g2", "n", "doc_id")
         .mapInArrow(_blocks, "a bigint, b bigint")
         .distinct()
     )
