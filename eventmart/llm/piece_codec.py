@@ -36,9 +36,11 @@ from eventmart.llm.textops import per_chunk
 
 BLANK = "▁"
 #: Parts remembered by one task before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Longer parts are worked one by one and not remembered.
 BATCH_CHARS = 40
+#: Parts that go through the table together.
+BATCH_PARTS = 20_000
 
 
 @dataclass
@@ -216,7 +218,9 @@ class Codec:
         if len(fresh) > 200:
             if self.table is None:
                 self.table = PrefixTable(self)
-            memory.update(self.table.encode(fresh))
+            order = list(fresh)
+            for a in range(0, len(order), BATCH_PARTS):
+                memory.update(self.table.encode(set(order[a : a + BATCH_PARTS])))
         get = memory.get
         return [
             b"".join([self.head, *[get(p) or self._packed(p) for p in parts], self.tail])
