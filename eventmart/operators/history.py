@@ -112,7 +112,6 @@ def join_as_of(
     closed: str = "left",
     how: str = "inner",
     versions_per_slice: int | None = 64,
-    max_large_keys: int = 10_000,
 ) -> DataFrame:
     """Each fact row with the versions of its key valid at ``ts``.
 
@@ -135,7 +134,7 @@ def join_as_of(
     left, right = fact, versions
     match = [F.col(k) == F.col(f"__h_{k}") for k in keys]
     if versions_per_slice is not None:
-        large = large_keys(hist, keys, FROM, versions_per_slice, max_large_keys)
+        large = large_keys(hist, keys, FROM, versions_per_slice)
         left = with_grid(fact, keys, large).select(*fact.columns, slice_of(ts).alias("__at"))
         until = F.coalesce(slice_of(TO), F.col("__last"), F.lit(0))
         since = slice_of(FROM)

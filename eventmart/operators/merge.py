@@ -17,5 +17,5 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
 
     Repeats inside the batch all stay, and a NULL key replaces nothing.
     """
-    incoming = batch.select(*keys).distinct()
-    return append(target.join(incoming, list(keys), "left_anti"), batch)
+    # no distinct: an aggregate between shuffle and join would keep a hot key in one task
+    return append(target.join(batch.select(*keys), list(keys), "left_anti"), batch)

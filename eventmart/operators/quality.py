@@ -55,7 +55,8 @@ def max_value(df: DataFrame, col: str, limit: float) -> DataFrame:
 
 def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose reference has no parent; NULL references pass."""
-    known = parent.select(F.col(pk).alias("__pk")).filter(F.col("__pk").isNotNull()).distinct()
+    # no distinct: an aggregate between shuffle and join would keep a hot key in one task
+    known = parent.select(F.col(pk).alias("__pk")).filter(F.col("__pk").isNotNull())
     present = child.filter(F.col(fk).isNotNull())
     return present.join(known, F.col(fk) == F.col("__pk"), "left_anti")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.keys import surrogate_key
 from eventmart.functions.time import minutes_between
-from eventmart.operators.skew import fits_one_task, in_slices
+from eventmart.operators.skew import in_slices
 
 ROWS_PER_SLICE = 1_000_000
 
@@ -20,8 +20,7 @@ def with_next(
     ts: str,
     carry: Sequence[str],
     tie_break: Sequence[str] = (),
-    rows_per_slice: int | str | None = "auto",
-    max_large_keys: int = 2_000,
+    rows_per_slice: int | None = ROWS_PER_SLICE,
     collapse_copies: bool = False,
 ) -> DataFrame:
     """Add ``next_<c>`` for each column of ``carry``: its value in the key's next row.
@@ -30,20 +29,17 @@ def with_next(
     ``rows_per_slice`` rows is cut into time slices, each with a copy of the following
     slice's first row behind its own, so every row still meets its true successor.
 
-    ``"auto"`` takes a million rows, and does without slices and their counting pass when
-    the whole input is no more than one scan task reads. ``None`` never cuts.
+    The plan is the same at every size of the input. ``None`` never cuts.
 
     Time cannot separate exact copies of one row. ``collapse_copies`` keeps one copy of each
     row of an overfull slice, by an aggregation that starts before the shuffle; use it where
     a copy behind its original changes nothing.
     """
     order = [ts, *tie_break]
-    if rows_per_slice == "auto":
-        rows_per_slice = None if fits_one_task(df) else ROWS_PER_SLICE
     if rows_per_slice is None:
         return _lead(df, keys, order, carry)
 
-    sliced = in_slices(df, keys, ts, rows_per_slice, max_large_keys)
+    sliced = in_slices(df, keys, ts, rows_per_slice)
 
     # First row of each slice, found by partial aggregation over the large keys only, then
     # handed to the slice before it.
@@ -87,8 +83,7 @@ def state_sessions(
     end: str,
     tie_break: Sequence[str] = (),
     names: tuple[str, str] = ("arrival_time", "departure_time"),
-    rows_per_slice: int | str | None = "auto",
-    max_large_keys: int = 2_000,
+    rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
     """One row per ``start`` state whose very next row of the same key is an ``end`` state.
 
@@ -101,7 +96,7 @@ def state_sessions(
     rows = df.select(*dict.fromkeys([key, state, ts, *tie_break]))
     # A copied reading neither starts nor ends a second session, unless start and end agree.
     stepped = with_next(
-        rows, [key], ts, [state, ts], tie_break, rows_per_slice, max_large_keys, start != end
+        rows, [key], ts, [state, ts], tie_break, rows_per_slice, start != end
     )
     arrival, departure = names
     return (

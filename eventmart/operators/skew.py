@@ -21,13 +21,11 @@ DENSITY = 4
 
 
 def large_keys(
-    df: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int, max_keys: int
+    df: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int
 ) -> DataFrame:
     """The keys with more than ``rows_per_slice`` rows and their slice grid.
 
-    At most ``max_keys`` rows, the largest keys first, so the result may be broadcast
-    whatever the table's size. A key beyond that rank holds less than 1/max_keys of
-    the table and needs no slices. Columns: ``__k0..``, ``__lo`` (first microsecond),
+    Every such key is found; their number is at most rows / ``rows_per_slice``. Columns: ``__k0..``, ``__lo`` (first microsecond),
     ``__width`` (microseconds) and ``__last`` (number of the last slice).
     """
     sizes = df.groupBy(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys))).agg(
@@ -41,21 +39,22 @@ def large_keys(
         sizes.filter((F.col("__rows") > rows_per_slice) & F.col("__lo").isNotNull())
         .withColumn("__width", F.floor((F.col("__hi") - F.col("__lo")) / pieces) + 1)
         .withColumn("__last", F.floor((F.col("__hi") - F.col("__lo")) / F.col("__width")))
-        .orderBy(F.col("__rows").desc(), *key_cols)
-        .limit(max_keys)
         .select(*key_cols, "__lo", "__width", "__last")
     )
 
 
 def with_grid(df: DataFrame, keys: Sequence[str], large: DataFrame) -> DataFrame:
-    """Add the slice grid of each row's key; NULL grid columns for ordinary keys."""
+    """Add the slice grid of each row's key; NULL grid columns for ordinary keys.
+
+    Whether ``large`` is broadcast is left to its measured size.
+    """
     match = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     drop = [f"__k{i}" for i in range(len(keys))]
-    return df.join(F.broadcast(large), match, "left").drop(*drop)
+    return df.join(large, match, "left").drop(*drop)
 
 
 def in_slices(
-    df: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int, max_keys: int
+    df: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int
 ) -> DataFrame:
     """Add ``__slice``, ``__large`` (the key was cut) and ``__dense`` (its slice was cut again).
 
@@ -63,14 +62,14 @@ def in_slices(
     second, finer grid of their own. Slices of a key sort in time order, NULL times first.
     """
     grid = ["__lo", "__width", "__last"]
-    even = large_keys(df, keys, ts, rows_per_slice, max_keys)
+    even = large_keys(df, keys, ts, rows_per_slice)
     coarse = (
         with_grid(df, keys, even)
         .withColumns({"__coarse": slice_of(ts), "__large": F.col("__lo").isNotNull()})
         .drop(*grid)
     )
     parts = [*keys, "__coarse"]
-    bursts = large_keys(coarse.filter("__large"), parts, ts, rows_per_slice, max_keys)
+    bursts = large_keys(coarse.filter("__large"), parts, ts, rows_per_slice)
     return (
         with_grid(coarse, parts, bursts)
         .withColumn("__slice", F.struct("__coarse", slice_of(ts).alias("fine")))
@@ -79,20 +78,6 @@ def in_slices(
     )
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    """Whether the planner sizes ``df`` below what one scan task reads anyway.
-
-    Then no key of it can overload a task, and looking for large keys is not worth a pass.
-    """
-    if not hasattr(df, "_jdf"):  # no planner at hand, as with a remote session
-        return False
-    limit = str(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("bB")
-    if not limit.isdigit():
-        return False
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= int(limit)
-
-
 def slice_of(ts: str | Column) -> Column:
     """Slice number from the grid columns: 0 for ordinary keys, clipped to the grid for
     times outside it, NULL for a NULL time of a large key."""

@@ -33,9 +33,11 @@ def load_export(
     """Land one export: parquet under ``<archive>/<prefix>`` and, if given, a database table.
 
     Event exports append all their files; reference exports replace the table by the last
-    one. ``jdbc(df, table, mode)`` does the database write, for instance a closure over
+    one. Without any file nothing is written. ``jdbc(df, table, mode)`` does the database write, for instance a closure over
     ``sinks.write_jdbc``.
     """
+    if files.latest_snapshot(spark, raw_dir, prefix) is None:
+        return  # nothing came; a reference table keeps its rows
     keep_all = prefix in parking.HISTORY_EXPORTS
     raw = files.read_json_snapshots(
         spark, raw_dir, prefix, parking.RAW[prefix], "history" if keep_all else "snapshot"
@@ -63,8 +65,9 @@ def load_new_exports(
 ) -> None:
     """``load_export`` for event exports that remembers which files it has read.
 
-    Each batch of new files goes to its own ``load=<number>`` folder, so a batch that is
-    repeated after a failure replaces itself. ``consumed_dir`` moves read files away.
+    Each batch of new files goes to its own ``load=<stream>-<number>`` folder, so a batch that
+    is repeated after a failure replaces itself, and a stream with a new checkpoint, which
+    counts from 0 again, replaces nothing of an earlier one. ``consumed_dir`` moves read files away.
     """
     raw = io.read_json_stream(
         spark,
@@ -76,8 +79,11 @@ def load_new_exports(
     )
 
     def land(batch: DataFrame, number: int) -> None:
+        # the id of the stream lives in its checkpoint
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
         def to_archive(df: DataFrame) -> None:
-            sinks.write_parquet(df, f"{archive}/{prefix}/load={number}", "overwrite")
+            sinks.write_parquet(df, f"{archive}/{prefix}/load={stream}-{number}", "overwrite")
 
         if jdbc is None:
             to_archive(landed_rows(batch))
@@ -93,8 +99,11 @@ def load_new_exports(
 def upsert_export(
     spark: SparkSession, raw_dir: str, prefix: str, table: str, keys: Sequence[str]
 ) -> None:
-    """Keyed replacement of a table by every file of an export; creates it on first use."""
-    raw = files.read_json_snapshots(spark, raw_dir, prefix, parking.RAW[prefix])
+    """Keyed replacement of a table by the last file of an export; creates it on first use.
+    Without any file nothing is written."""
+    if files.latest_snapshot(spark, raw_dir, prefix) is None:
+        return
+    raw = files.read_json_snapshots(spark, raw_dir, prefix, parking.RAW[prefix], "snapshot")
     sinks.upsert_table(stamp(stringify_nested(raw)), table, keys)
 
 

@@ -42,17 +42,30 @@ def append_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
         df = align(df, spark.table(table).schema)
-    df.write.mode("append").format(fmt).saveAsTable(table)
+        # by position, which holds for partitioned tables too
+        df.select(*spark.table(table).columns).write.insertInto(table)
+    else:
+        df.write.format(fmt).saveAsTable(table)
 
 
 def swap_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace a table by a frame that may read it: write aside first, then rename."""
+    """Replace a table by a frame that may read it; its partitioning stays.
+
+    The rows are written aside first. With the same columns they then overwrite the table,
+    which is there all the time; with others, the table written aside takes its name.
+    """
     spark = df.sparkSession
     aside = f"{table}__next"
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    columns = spark.table(table).columns
     spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    df.write.format(fmt).saveAsTable(aside)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+    df.write.format(fmt).partitionBy(*parts).saveAsTable(aside)
+    if sorted(df.columns) == sorted(columns):
+        spark.table(aside).select(*columns).write.insertInto(table, overwrite=True)
+        spark.sql(f"DROP TABLE {aside}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
 
 
 def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], fmt: str = "parquet") -> None:

@@ -104,7 +104,7 @@ def test_matches_plain_python_with_any_slicing(spark, rows, per_slice):
 def test_hot_key_is_sliced_and_others_are_not(spark):
     rows = [(1, "P", at(m), m) for m in range(900)] + [(b, "U", at(b), b) for b in range(2, 102)]
     df = spark.createDataFrame(rows, DDL)
-    grid = large_keys(df, ["bay"], "at", rows_per_slice=100, max_keys=10).collect()
+    grid = large_keys(df, ["bay"], "at", rows_per_slice=100).collect()
     assert [r["__k0"] for r in grid] == [1]
     assert grid[0]["__last"] >= 9
     none = with_next(df, ["bay"], "at", ["status", "at"], ["id"], rows_per_slice=None)
@@ -117,7 +117,7 @@ def test_more_hot_keys_than_the_limit_changes_nothing(spark):
     rows = [(b, "PU"[m % 2], at(m), m) for b in range(5) for m in range(40)]
     df = spark.createDataFrame(rows, DDL)
     kw = {"key": "bay", "state": "status", "ts": "at", "start": "P", "end": "U"}
-    cut = state_sessions(df, **kw, tie_break=["id"], rows_per_slice=4, max_large_keys=2)
+    cut = state_sessions(df, **kw, tie_break=["id"], rows_per_slice=4)
     assert cut.count() == 100
     whole = state_sessions(df, **kw, tie_break=["id"], rows_per_slice=None)
     assert cut.exceptAll(whole).isEmpty()
@@ -142,18 +142,14 @@ def test_a_burst_is_cut_again(spark):
     """Most rows of the key fall into one of its even slices."""
     times = [T0 + timedelta(seconds=s) for s in range(400)] + [at(60 * 24 * d) for d in range(1, 50)]
     df = spark.createDataFrame([(1, "PU"[i % 2], t, i) for i, t in enumerate(times)], DDL)
-    cut = in_slices(df, ["bay"], "at", rows_per_slice=20, max_keys=10)
+    cut = in_slices(df, ["bay"], "at", rows_per_slice=20)
     assert cut.groupBy("__slice").count().agg(F.max("count")).first()[0] <= 20
     one = with_next(df, ["bay"], "at", ["id"], ["id"], rows_per_slice=20)
     two = with_next(df, ["bay"], "at", ["id"], ["id"], rows_per_slice=None)
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
 
 
-def test_auto_looks_for_large_keys_only_in_large_inputs(spark):
-    def plan():
-        df = spark.range(10).selectExpr("id AS bay", "timestamp_micros(id) AS at")
-        return with_next(df, ["bay"], "at", ["at"])._jdf.queryExecution().optimizedPlan().toString()
-
-    assert "__slice" not in plan()
-    with runtime.settings(spark, **{"spark.sql.files.maxPartitionBytes": "1"}):
-        assert "__slice" in plan() and "broadcast" in plan()
+def test_the_plan_is_the_same_for_small_inputs(spark):
+    df = spark.range(10).selectExpr("id AS bay", "timestamp_micros(id) AS at")
+    plan = with_next(df, ["bay"], "at", ["at"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "__slice" in plan
