@@ -8,8 +8,8 @@ order are compared and extended to the right and to the left, word by word. A ma
 least ``MIN_WORDS`` words marks its span in both texts; overlapping spans merge.
 
 A passage of ``MIN_WORDS`` words holds a minimiser with at most ``GAP - 1`` words before it,
-so its remaining words stand right of it. Extension reads ``REACH`` words on either side of a
-place; longer matches are chains of such spans, which meet because minimisers are closer
+so its remaining words stand right of it. Extension reads ``REACH`` words to the right of a
+place and ``BACK`` to the left; longer matches are chains of such spans, which meet because minimisers are closer
 together than that.
 
 Suffixes whose seed occurs once are dropped after one count with partial aggregates. A seed
@@ -29,8 +29,10 @@ from eventmart.llm.textops import Texts, chain, hash_ranges, per_chunk
 
 MIN_WORDS = 50
 SEED, GAP = 12, 24
-#: Words compared on each side of a place. At least MIN_WORDS.
-REACH = 64
+#: Words compared right and left of a place. The first minimiser of a passage has fewer than
+#: GAP words of it on the left; any GAP seeds in a row hold one, so the last MIN_WORDS words
+#: of a passage hold one with the rest of it on the right.
+REACH, BACK = MIN_WORDS, GAP
 #: Suffixes of one seed that one task compares.
 DEALT = 1_024
 
@@ -108,7 +110,7 @@ def _contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows["at"].append(p["at"])
             rows["salt"].append(p["salt"])
             rows["right"].append(short[at : min(b, at + REACH)].tobytes())
-            rows["left"].append(short[max(a, at - REACH) : at][::-1].tobytes())
+            rows["left"].append(short[max(a, at - BACK) : at][::-1].tobytes())
     kinds = {"seed": pa.int64(), "doc": pa.int64(), "at": pa.int32(), "salt": pa.int32()}
     return pa.RecordBatch.from_pydict(
         {c: pa.array(v, kinds.get(c, pa.binary())) for c, v in rows.items()}
