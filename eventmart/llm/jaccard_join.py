@@ -11,7 +11,10 @@ sorted shingle arrays.
 Tiles are worked in two rounds, so that a group of near copies does not emit all its pairs.
 First every member is tried against the smallest of its tile. Pairs of different components
 that share a tile of three or more follow: tiles with one smallest id are joined to a unit,
-and units of many documents are dealt to several tasks block by block. Every pair that reaches the threshold ends in one component either way.
+and units of many documents are dealt to several tasks block by block. A block first names
+only the nearest candidate of each document, one for a pair of components: within the parts
+of a unit, then across them. What these links leave in different components is then tried
+pair by pair. Every pair that reaches the threshold ends in one component either way.
 
 The rare-first order comes from document counts of all shingles. Only its most frequent
 ``MAX_COMMON`` shingles are handed to tasks; any order gives the same links, so this bound
@@ -265,11 +268,12 @@ def _tiles(batches):
         yield work(*held, whole=True)[1]
 
 
-def _blocks(batches):
+def _blocks(nearest: bool):
     """Pairs of different components within the bitmap bound, unit by unit.
 
     Rows come sorted by (unit, g1, g2), size and id. These are at most about ``2 * DEALT``;
-    larger units were dealt by ``side``.
+    larger units were dealt by ``side``. With ``nearest``, a block gives for each document
+    the partner before it with fewest differing bits, and one such pair for two components.
     """
 
     def folded(rows, width):
@@ -303,23 +307,66 @@ def _blocks(batches):
                     differ += np.bitwise_count(x[:, k][:, None] ^ y[:, k][None])
                 size = n[i][:, None] + n[j][None]
                 ok &= (100 + PERCENT) * ((size - differ) // 2) >= PERCENT * size
-                at_i, at_j = np.nonzero(ok)
+                if nearest:
+                    # shares of differing bits order candidates of different sizes
+                    share = np.where(ok, differ / size, np.inf)
+                    at_j = np.flatnonzero(ok.any(axis=0))
+                    at_i = share[:, at_j].argmin(axis=0)
+                    rank = np.argsort(share[at_i, at_j], kind="stable")
+                    at_i, at_j = at_i[rank], at_j[rank]
+                    c, d = comp[i][at_i], comp[j][at_j]
+                    ends = np.stack([np.minimum(c, d), np.maximum(c, d)], 1)
+                    first = np.unique(ends, axis=0, return_index=True)[1]
+                    at_i, at_j = at_i[first], at_j[first]
+                else:
+                    at_i, at_j = np.nonzero(ok)
                 x, y = doc[i][at_i], doc[j][at_j]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
                 )
 
-    tile, rows = None, []
-    for batch in batches:
-        for row in batch.to_pylist():
-            key = (row["unit"], row["g1"], row["g2"])
-            if key != tile and rows:
-                yield from pairs_of(rows)
-                rows = []
-            tile = key
-            rows.append(row)
-    if rows:
-        yield from pairs_of(rows)
+    def run(batches):
+        tile, rows = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = (row["unit"], row["g1"], row["g2"])
+                if key != tile and rows:
+                    yield from pairs_of(rows)
+                    rows = []
+                tile = key
+                rows.append(row)
+        if rows:
+            yield from pairs_of(rows)
+
+    return run
+
+
+def _candidates(units: DataFrame, bits: DataFrame, across: bool, nearest: bool) -> DataFrame:
+    """Distinct pairs (a, b) of ``units`` (unit, doc_id, n, comp) by ``_blocks``.
+
+    A unit of more than ``DEALT`` documents is cut into parts; ``across`` compares them with
+    each other too.
+    """
+    sizes = units.groupBy("unit").agg(
+        F.ceil(F.count("*") / F.lit(DEALT)).cast("int").alias("k"),
+        F.min("comp").alias("lo"),
+        F.max("comp").alias("hi"),
+    )
+    sizes = runtime.written(sizes.where("lo != hi").select("unit", "k"), "jaccard-sizes")
+    dealt = units.join(sizes, "unit").join(bits, "doc_id").select(
+        "unit", "doc_id", "n", "comp", "bitmap", "k",
+        F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int").alias("side"),
+    )
+    others = F.sequence(F.lit(0), F.col("k") - 1) if across else F.array("side")
+    dealt = dealt.withColumn("other", F.explode(others))
+    dealt = dealt.withColumns({"g1": F.least("side", "other"), "g2": F.greatest("side", "other")})
+    return (
+        dealt.drop("other", "k")
+        .repartition("unit", "g1", "g2")
+        .sortWithinPartitions("unit", "g1", "g2", "n", "doc_id")
+        .mapInArrow(_blocks(nearest), "a bigint, b bigint")
+        .distinct()
+    )
 
 
 def _exact(n: int):
@@ -464,23 +511,25 @@ def near_duplicates(
         many.join(open_, "shingle").select("unit", "doc_id", "n", "comp").distinct(),
         "jaccard-units",
     )
-    sizes = units.groupBy("unit").agg(F.ceil(F.count("*") / F.lit(DEALT)).cast("int").alias("k"))
-    dealt = units.join(runtime.written(sizes, "jaccard-sizes"), "unit").join(bits, "doc_id").select(
-        "unit", "doc_id", "n", "comp", "bitmap", "k",
-        F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int").alias("side"),
-    )
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    dealt = dealt.withColumns({"g1": F.least("side", "other"), "g2": F.greatest("side", "other")})
-    second = (
-        dealt.drop("other", "k")
-        .repartition("unit", "g1", "g2")
-        .sortWithinPartitions("unit", "g1", "g2", "n", "doc_id")
-        .mapInArrow(_blocks, "a bigint, b bigint")
-        .distinct()
-    )
-    second = runtime.written(second, "jaccard-pairs")
-    more = _verified(second, docs, words)
-    every = links.union(more).union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    tried = None
+    for across, nearest in ((False, True), (True, True), (True, False)):
+        pairs = _candidates(units, bits, across, nearest)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = runtime.written(pairs, "jaccard-pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        more = _verified(pairs, docs, words)
+        links = runtime.written(links.union(more), "jaccard-links")
+        if nearest:
+            comps = runtime.written(connected_components(links), "jaccard-components")
+            named = comps.withColumnRenamed("id", "doc_id")
+            units = runtime.written(
+                units.drop("comp")
+                .join(named, "doc_id", "left")
+                .select("unit", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("comp")),
+                "jaccard-units",
+            )
+    every = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     final = runtime.written(connected_components(every), "jaccard-components")
     return sig.join(final, sig.doc_id == final.id, "left").select(
         sig.doc_id,
