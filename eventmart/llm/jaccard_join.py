@@ -36,7 +36,7 @@ PERCENT = 80
 #: A shingle in at least so many documents is common; at most so many of them are broadcast.
 COMMON, MAX_COMMON = 24, 1_000_000
 #: Shingles counted together before they are shuffled, and per group after.
-COUNT_BATCH, COUNT_GROUP = 2_000_000, 2_000_000
+COUNT_BATCH, COUNT_GROUP = 1_000_000, 1_000_000
 #: Rows of one tile held at once, rows of a block, and rows of a unit on a side of one task.
 HELD, BLOCK, DEALT = 100_000, 512, 512
 
