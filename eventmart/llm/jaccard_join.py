@@ -37,6 +37,11 @@ PERCENT = 80
 COMMON, MAX_COMMON = 24, 1_000_000
 #: Shingles counted together before they are shuffled, and per group after.
 COUNT_BATCH, COUNT_GROUP = 1_000_000, 1_000_000
+#: Texts reach Python in batches of at most so many rows and bytes.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
+}
 #: Rows of one tile held at once, rows of a block, and rows of a unit on a side of one task.
 HELD, BLOCK, DEALT = 100_000, 512, 512
 
@@ -436,6 +441,11 @@ def near_duplicates(
     row with a null doc_id links with nothing and has a null component_id. Other columns are
     not read.
     """
+    with runtime.settings(docs.sparkSession, **BATCHES):
+        return _near_duplicates(docs, text, doc_id, words)
+
+
+def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sig = runtime.written(
