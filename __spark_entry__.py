@@ -8,21 +8,24 @@ depends on the order of rows.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The package lies next to this file, which may be loaded by path from another folder.
 if (_HERE := str(Path(__file__).resolve().parent)) not in sys.path:
     sys.path.insert(0, _HERE)
 
 from eventmart import runtime
-from eventmart.functions import code, epoch_micros, flag, minutes_between
+from eventmart.functions import code, flag
 from eventmart.operators import cdc, clean, dedup, history, kpi, merge, quality, reshape
 from eventmart.operators.sessions import state_sessions
-from eventmart.plans import marts
+from eventmart.plans import jobs, marts
 from eventmart.sources import files, sinks
 from eventmart.streaming import io, layers, windows
 from eventmart.streaming import sessions as stream_sessions
@@ -198,6 +201,24 @@ def unpivot_slots(spark, sf_dir):
     return reshape.unpivot_slots(part, ["p_partkey"], fields, 3, keep_if="description")
 
 
+@_query("""
+SELECT * FROM (
+  SELECT p_partkey, 1 AS slot, CASE WHEN p_size > 25 THEN p_brand END AS description,
+         CAST(p_size AS VARCHAR) AS size FROM part
+  UNION ALL SELECT p_partkey, 2, CASE WHEN p_size < 40 THEN p_type END, NULL FROM part)
+WHERE description IS NOT NULL""")
+def unpivot_null_slots(spark, sf_dir):
+    """Slots without a description go, whatever their other fields hold."""
+    part = _read(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(F.col("p_size") > 25, F.col("p_brand")).alias("description1"),
+        F.when(F.col("p_size") < 40, F.col("p_type")).alias("description2"),
+        F.col("p_size").alias("size1"),
+    )
+    fields = {"description": ("description", "string"), "size": ("size", "string")}
+    return reshape.unpivot_slots(part, ["p_partkey"], fields, 3, keep_if="description")
+
+
 @_query("SELECT event_id, user_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events")
 def expand_json(spark, sf_dir):
     events = _read(spark, sf_dir, "events").select("event_id", "user_id", "props")
@@ -338,21 +359,138 @@ def replace_by_key(spark, sf_dir):
     return merge.replace_by_key(orders, batch, ["o_custkey", "o_orderpriority"])
 
 
-@_query("SELECT * FROM orders")
+@_query("""
+SELECT *, 'by_status' AS sink FROM orders UNION ALL SELECT *, 'plain' FROM orders""")
 def dual_write(spark, sf_dir):
-    """One frame into two sinks, read back from the partitioned one."""
+    """One frame into two sinks, both read back."""
     base = runtime.workspace(spark, "dual")
     sinks.dual_write(
         _read(spark, sf_dir, "orders"),
         lambda df: sinks.write_parquet(df, f"{base}/by_status", partition_by=["o_orderstatus"]),
         lambda df: sinks.write_parquet(df, f"{base}/plain"),
     )
-    return files.read_parquet(spark, f"{base}/by_status")
+    by_status = files.read_parquet(spark, f"{base}/by_status")
+    plain = files.read_parquet(spark, f"{base}/plain")
+    return by_status.withColumn("sink", F.lit("by_status")).unionByName(
+        plain.withColumn("sink", F.lit("plain"))
+    )
+
+
+# --- exports and tables ------------------------------------------------------------------
+
+_LOADED = datetime(2024, 2, 1)
+_LOADED_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+_DATABASE = "eventmart_queries"
+
+
+def _table_name(spark: SparkSession, label: str) -> str:
+    """A table name no other run uses."""
+    sinks.ensure_database(spark, _DATABASE)
+    return f"{_DATABASE}.{label}_{uuid.uuid4().hex}"
+
+
+def _exported_orders(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """Folder with one export of orders per status, in the order F, O, P by name, and one of
+    a longer prefix that must not be read."""
+    orders = _read(spark, sf_dir, "orders")
+    base = runtime.workspace(spark, "exports")
+    for day, status in enumerate("FOP", 1):
+        rows = orders.filter(F.col("o_orderstatus") == status)
+        rows.write.options(**files.JSON_TIMES).json(f"{base}/orders_2024010{day}_000000.json")
+    orders.write.json(f"{base}/orders_all_20240109_000000.json")
+    return base, orders.schema
+
+
+@_query("SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')")
+def json_history(spark, sf_dir):
+    base, schema = _exported_orders(spark, sf_dir)
+    return files.read_json_snapshots(spark, base, "orders", schema, "history", multi_line=False)
+
+
+@_query("SELECT * FROM orders WHERE o_orderstatus = 'P'")
+def json_snapshot(spark, sf_dir):
+    base, schema = _exported_orders(spark, sf_dir)
+    return files.read_json_snapshots(spark, base, "orders", schema, "snapshot", multi_line=False)
+
+
+@_query(f"""
+SELECT c_custkey, c_acctbal, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment,
+       CAST(NULL AS VARCHAR) AS _corrupt_record, {_LOADED_SQL} AS _ingested_at
+FROM customer
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, '{{"c_custkey": 1', {_LOADED_SQL}""")
+def landed_exports(spark, sf_dir):
+    """Customers as an export of which two columns are declared, with one broken line, landed
+    twice; the others arrive as text, and the line in a column of its own."""
+    base = runtime.workspace(spark, "landed")
+    export = f"{base}/raw/customer_20240101_000000.json"
+    customers = _read(spark, sf_dir, "customer")
+    broken = customers.agg(F.lit('{"c_custkey": 1').alias("value"))
+    lines = customers.select(F.to_json(F.struct("*")).alias("value")).unionByName(broken)
+    lines.write.text(export)
+    declared = customers.select("c_custkey", "c_acctbal").schema
+    for _ in range(2):
+        jobs.load_export(
+            spark, f"{base}/raw", "customer", f"{base}/archive", ts=_LOADED, schema=declared,
+            multi_line=False,
+        )
+    landed = files.read_parquet(spark, f"{base}/archive/customer")
+    return _zoneless(landed, "_ingested_at")
+
+
+@_query(f"SELECT *, {_LOADED_SQL} AS ingested_at FROM orders")
+def load_stamp(spark, sf_dir):
+    return _zoneless(clean.stamp(_read(spark, sf_dir, "orders"), ts=_LOADED), "ingested_at")
+
+
+@_query("SELECT * FROM orders")
+def table_overwrite(spark, sf_dir):
+    """Customers replaced by orders, which have other columns, in a partitioned table."""
+    name = _table_name(spark, "overwritten")
+    sinks.overwrite_table(_read(spark, sf_dir, "customer"), name)
+    sinks.overwrite_table(_read(spark, sf_dir, "orders"), name, partition_by=["o_orderstatus"])
+    return files.read_table(spark, name)
+
+
+@_query("""
+SELECT c_custkey AS party_id, c_name AS name, 'customer' AS kind, CAST(NULL AS DOUBLE) AS balance
+FROM customer
+UNION ALL SELECT s_suppkey, s_name, 'supplier', s_acctbal FROM supplier""")
+def table_append_evolve(spark, sf_dir):
+    """Suppliers appended to a partitioned table of customers that lacks one of their columns."""
+    name = _table_name(spark, "appended")
+    customers = _read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("party_id"), F.col("c_name").alias("name"),
+        F.lit("customer").alias("kind"),
+    )
+    suppliers = _read(spark, sf_dir, "supplier").select(
+        F.col("s_acctbal").alias("balance"), F.lit("supplier").alias("kind"),
+        F.col("s_suppkey").alias("party_id"), F.col("s_name").alias("name"),
+    )
+    sinks.overwrite_table(customers, name, partition_by=["kind"])
+    sinks.append_table(suppliers, name)
+    return files.read_table(spark, name)
+
+
+@_query("""
+WITH batch AS (
+  SELECT * REPLACE ('F' AS o_orderstatus) FROM orders WHERE o_orderstatus = 'P')
+SELECT * FROM orders t WHERE NOT EXISTS (
+  SELECT 1 FROM batch b
+  WHERE b.o_custkey = t.o_custkey AND b.o_orderpriority = t.o_orderpriority)
+UNION ALL SELECT * FROM batch""")
+def table_upsert(spark, sf_dir):
+    """The first batch creates the table, the second replaces rows by key."""
+    name = _table_name(spark, "upserted")
+    orders = _read(spark, sf_dir, "orders")
+    batch = orders.filter(F.col("o_orderstatus") == "P").withColumn("o_orderstatus", F.lit("F"))
+    for rows in (orders, batch):
+        sinks.upsert_table(rows, name, ["o_custkey", "o_orderpriority"])
+    return files.read_table(spark, name)
 
 
 # --- history -----------------------------------------------------------------------------
 
-_DAYS = ["1998-01-01 00:00:00", "2000-01-01 00:00:00", "2001-06-01 00:00:00"]
+_DAYS = ["1998-01-01 00:00:00", "2000-01-01 00:00:00", "2002-01-01 00:00:00"]
 
 
 def _snapshot_sql(name: str, day: str) -> str:
@@ -603,9 +741,19 @@ occupancy AS (
   FROM moves GROUP BY {lead_key}period)"""
 
 
-@_query(f"""WITH {_SESSIONS}, {_occupancy_sql("sessions", "hour")} SELECT * FROM occupancy""")
+_OPEN_SESSIONS = _SESSIONS.replace("sessions AS", "stays AS").replace(
+    "AND next_type = 'purchase'", "AND (next_type = 'purchase' OR next_ts IS NULL)"
+)
+
+
+@_query(f"""WITH {_OPEN_SESSIONS}, {_occupancy_sql("stays", "hour")}
+SELECT * FROM occupancy WHERE period IS NOT NULL""")
 def kpi_occupancy(spark, sf_dir):
-    sessions = _sessions(spark, sf_dir)
+    """Sessions that have not ended yet count too."""
+    sessions = state_sessions(
+        _read(spark, sf_dir, "events"), "user_id", "event_type", "ts", "view", "purchase",
+        ["event_id"], keep_open=True,
+    )
     return kpi.occupancy_over_time(sessions, "arrival_time", "departure_time", "hour")
 
 
@@ -757,6 +905,36 @@ def stream_bronze_silver(spark, sf_dir):
     return spark.read.parquet(silver)
 
 
+@_query("""
+SELECT CAST(user_id AS INTEGER) AS bay_id, event_type AS status, ts AS event_time,
+       CAST(props ->> '$.k' AS INTEGER) AS k
+FROM events WHERE event_type <> 'error'""")
+def stream_tables(spark, sf_dir):
+    """Change events through a bronze to a silver table, in two runs over several files and
+    micro-batches; the second run goes on where the first one stopped."""
+    base = runtime.workspace(spark, "tables")
+    landed = _envelopes(_read(spark, sf_dir, "events"))
+    image = landed.schema["after"].dataType
+    bronze, silver = _table_name(spark, "bronze"), _table_name(spark, "silver")
+    update = F.col("op") == "u"
+    for rows in (landed.filter(update), landed.filter(~update)):
+        rows.repartition(3).write.mode("append").json(f"{base}/landing")
+        io.drain(
+            layers.bronze_stream(
+                spark, f"{base}/landing", image, bronze, f"{base}/bronze", max_files=2
+            )
+        )
+        io.drain(
+            layers.silver_stream(
+                io.read_table_stream(spark, bronze),
+                silver,
+                f"{base}/silver",
+                lambda df: layers.silver_rows(df, _FLAT, {"props": "k INT"}),
+            )
+        )
+    return spark.table(silver)
+
+
 @_query("SELECT DISTINCT user_id, ts, event_type FROM events")
 def stream_dedup(spark, sf_dir):
     """Every event arrives twice; one copy stays."""

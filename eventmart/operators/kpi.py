@@ -136,10 +136,12 @@ def rule_in_force(
     Rules are packed into one array per key, so the join keeps one row per session: no
     fan-out, and no second shuffle to pick the winner. Of rules with the same day and hours
     only the lowest can ever win, so a key's array is bounded by the distinct weekly hours,
-    however many rule rows the key has.
+    however many rule rows the key has. A rule whose day is text other than a number is
+    left out: which days it means is unknown.
     """
     rule_key = rule_key or key
-    hours = rules.select(
+    readable = F.col(fields["day"]).isNull() | F.col(fields["day"]).try_cast("int").isNotNull()
+    hours = rules.filter(readable).select(
         F.col(rule_key).alias("__rule_key"),
         F.col(fields["day"]).try_cast("int").alias("day"),
         clock_minutes(fields["start_time"]).alias("begins"),
@@ -149,7 +151,7 @@ def rule_in_force(
             F.col(fields["max_minutes"]).cast("double").alias("max_minutes"),
             F.col(fields["type"]).alias("type"),
         ).alias("rule"),
-    ).filter(F.col("begins").isNotNull() & F.col("ends").isNotNull())
+    ).filter(F.col("begins").isNotNull() & F.col("ends").isNotNull() & F.col("__rule_key").isNotNull())
     lowest = hours.groupBy("__rule_key", "day", "begins", "ends").agg(F.min("rule").alias("rule"))
     packed = lowest.groupBy("__rule_key").agg(
         F.array_sort(
@@ -157,8 +159,10 @@ def rule_in_force(
         ).alias("__rules")
     )
     holding = F.filter("__rules", lambda r: _covers(r, arrival))
+    # Null-safe equality on keys that are never NULL here: plain equality would reuse the
+    # shuffle under the packing aggregate, and the adaptive skew split needs one above it.
     return (
-        sessions.join(packed, F.col(key) == F.col("__rule_key"), "left")
+        sessions.join(packed, F.col(key).eqNullSafe(F.col("__rule_key")), "left")
         .withColumn("rule", F.get(holding, F.lit(0)))
         .drop("__rule_key", "__rules")
     )

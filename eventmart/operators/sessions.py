@@ -84,11 +84,13 @@ def state_sessions(
     tie_break: Sequence[str] = (),
     names: tuple[str, str] = ("arrival_time", "departure_time"),
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    keep_open: bool = False,
 ) -> DataFrame:
     """One row per ``start`` state whose very next row of the same key is an ``end`` state.
 
     A repeated start pairs from its last repeat, any other state in between breaks the pair,
-    and a start without a next row gives nothing. States are filtered only after the next
+    and a start without a next row gives nothing, or with ``keep_open`` a session whose end
+    and duration are NULL. States are filtered only after the next
     row is known: an earlier filter would change which rows are neighbours.
 
     Output: session_id, key, arrival, departure, duration_minutes.
@@ -99,12 +101,11 @@ def state_sessions(
         rows, [key], ts, [state, ts], tie_break, rows_per_slice, start != end
     )
     arrival, departure = names
+    # NULL times come first, so a row with a time has no next row exactly if that has none
+    last = F.col(ts).isNotNull() & F.col(f"next_{ts}").isNull()
+    paired = (F.col(f"next_{state}") == end) & F.col(f"next_{ts}").isNotNull()
     return (
-        stepped.filter(
-            (F.col(state) == start)
-            & (F.col(f"next_{state}") == end)
-            & F.col(f"next_{ts}").isNotNull()
-        )
+        stepped.filter((F.col(state) == start) & ((paired | last) if keep_open else paired))
         .select(
             surrogate_key(key, ts).alias("session_id"),
             F.col(key),

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.operators.clean import stamp
 from eventmart.operators.dedup import distinct_rows
@@ -29,18 +30,29 @@ def load_export(
     jdbc: Callable[[DataFrame, str, str], None] | None = None,
     partition_by: Sequence[str] = (),
     ts: datetime | None = None,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
 ) -> None:
     """Land one export: parquet under ``<archive>/<prefix>`` and, if given, a database table.
 
     Event exports append all their files; reference exports replace the table by the last
-    one. Without any file nothing is written. ``jdbc(df, table, mode)`` does the database write, for instance a closure over
-    ``sinks.write_jdbc``.
+    one. Without any file nothing is written. All columns are kept: those that ``schema`` (by
+    default the preset's) does not declare arrive as text, and records that cannot be read
+    as text in ``_corrupt_record``. ``jdbc(df, table, mode)`` does the database write, for
+    instance a closure over ``sinks.write_jdbc``.
     """
     if files.latest_snapshot(spark, raw_dir, prefix) is None:
         return  # nothing came; a reference table keeps its rows
     keep_all = prefix in parking.HISTORY_EXPORTS
     raw = files.read_json_snapshots(
-        spark, raw_dir, prefix, parking.RAW[prefix], "history" if keep_all else "snapshot"
+        spark,
+        raw_dir,
+        prefix,
+        schema or parking.RAW[prefix],
+        "history" if keep_all else "snapshot",
+        multi_line,
+        unknown=True,
+        rescue=layers.RESCUE,
     )
     mode = "append" if keep_all else "overwrite"
     rows = landed_rows(raw, ts)
@@ -69,13 +81,17 @@ def load_new_exports(
     is repeated after a failure replaces itself, and a stream with a new checkpoint, which
     counts from 0 again, replaces nothing of an earlier one. ``consumed_dir`` moves read files away.
     """
+    if files.latest_snapshot(spark, raw_dir, prefix) is None:
+        return
+    every = f"{raw_dir}/{files.snapshot_glob(prefix)}"
     raw = io.read_json_stream(
         spark,
         raw_dir,
-        parking.RAW[prefix],
+        files.with_unknown(spark, every, parking.RAW[prefix]),
         archive_dir=consumed_dir,
         multi_line=True,
         glob=files.snapshot_glob(prefix),
+        rescue=layers.RESCUE,
     )
 
     def land(batch: DataFrame, number: int) -> None:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventmart.operators.schema import merged
+
 # Text forms that keep microseconds in JSON, for zoned and zoneless times.
 # Without them the JSON writer cuts timestamps to milliseconds.
 JSON_TIMES = {
@@ -20,30 +24,65 @@ def snapshot_glob(prefix: str) -> str:
 
 
 def latest_snapshot(spark: SparkSession, directory: str, prefix: str) -> str | None:
-    """Path of the last file by name. Lists the folder; no file content is read."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", snapshot_glob(prefix))
-        .load(directory)
-    )
-    return listing.agg(F.max("path").alias("path")).first()["path"]
+    """Path of the last export by name. Lists the folder; no file content is read.
+
+    An export is a file, or a folder of part files as Spark writes it.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
+    export = F.regexp_extract("path", f"^(.*/{re.escape(prefix)}_[0-9][^/]*[.]json)(/[^/]+)?$", 1)
+    names = listing.select(export.alias("path")).filter("path != ''")
+    return names.agg(F.max("path").alias("path")).first()["path"]
+
+
+def with_unknown(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+) -> T.StructType:
+    """``schema`` and, as text, the columns of the JSON files it does not declare.
+
+    Costs one more read of the files. Text is the one type that fits whatever a later file
+    holds; a nested value arrives as its JSON text.
+    """
+    readable = spark.read.option("multiLine", multi_line).option("mode", "DROPMALFORMED")
+    found = readable.json(path).columns
+    return merged(schema, T.StructType([T.StructField(n, T.StringType()) for n in found]))
 
 
 def read_json_snapshots(
-    spark: SparkSession, directory: str, prefix: str, schema: T.StructType, mode: str = "history"
+    spark: SparkSession,
+    directory: str,
+    prefix: str,
+    schema: T.StructType,
+    mode: str = "history",
+    multi_line: bool = True,
+    unknown: bool = False,
+    rescue: str | None = None,
 ) -> DataFrame:
-    """JSON array files of one export.
+    """JSON files of one export.
 
     ``mode="history"`` reads every file of the prefix (event exports, to be appended);
     ``"snapshot"`` reads the last one only (reference exports, to replace the table).
+    ``multi_line`` files hold one array each and are read by one task each; prefer JSON
+    lines (``multi_line=False``), which are split, for large exports. ``unknown`` keeps columns
+    that ``schema`` lacks, as text. ``rescue`` names a column for the text of records that
+    cannot be read, which would otherwise become rows of NULLs.
     """
     if mode not in ("history", "snapshot"):
         raise ValueError("mode must be 'history' or 'snapshot'")
-    reader = spark.read.schema(schema).option("multiLine", True)
-    if mode == "history":
-        return reader.option("pathGlobFilter", snapshot_glob(prefix)).json(directory)
-    path = latest_snapshot(spark, directory, prefix)
-    return reader.json(path) if path else spark.createDataFrame([], schema)
+    last = latest_snapshot(spark, directory, prefix)
+    if last is None:
+        return spark.createDataFrame([], rescued(schema, rescue))
+    path = last if mode == "snapshot" else f"{directory}/{snapshot_glob(prefix)}"
+    if unknown:
+        schema = with_unknown(spark, path, schema, multi_line)
+    reader = spark.read.schema(rescued(schema, rescue)).options(**JSON_TIMES)
+    if rescue:
+        reader = reader.option("columnNameOfCorruptRecord", rescue)
+    return reader.option("multiLine", multi_line).json(path)
+
+
+def rescued(schema: T.StructType, rescue: str | None) -> T.StructType:
+    """``schema`` with a text column for unreadable records, if it is named."""
+    return T.StructType([*schema.fields, T.StructField(rescue, T.StringType())]) if rescue else schema
 
 
 def infer_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.operators.cdc import envelope_schema
 from eventmart.operators.schema import align
-from eventmart.sources.files import JSON_TIMES
+from eventmart.sources.files import JSON_TIMES, rescued
 
 
 def read_json_stream(
@@ -23,9 +23,14 @@ def read_json_stream(
     archive_dir: str | None = None,
     multi_line: bool = False,
     glob: str | None = None,
+    rescue: str | None = None,
 ) -> DataFrame:
-    """JSON files as they land. ``archive_dir`` moves consumed files away, one batch late."""
-    reader = spark.readStream.schema(schema).option("multiLine", multi_line).options(**JSON_TIMES)
+    """JSON files as they land. ``archive_dir`` moves consumed files away, one batch late;
+    ``rescue`` names a column for the text of records that cannot be read."""
+    reader = spark.readStream.schema(rescued(schema, rescue))
+    if rescue:
+        reader = reader.option("columnNameOfCorruptRecord", rescue)
+    reader = reader.option("multiLine", multi_line).options(**JSON_TIMES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir:

@@ -13,6 +13,9 @@ from eventmart.operators.clean import stamp
 from eventmart.operators.reshape import expand_json
 from eventmart.streaming.io import append_to_table, read_envelopes
 
+#: Bronze column with the text of an unreadable line; NULL for all others.
+RESCUE = "_corrupt_record"
+
 
 def bronze_stream(
     spark: SparkSession,
@@ -24,9 +27,10 @@ def bronze_stream(
     sink: Callable[..., StreamingQuery] = append_to_table,
     **options,
 ) -> StreamingQuery:
-    """Change events as landed, plus ``ingested_at``. ``target`` is a table name, or a path
+    """Change events as landed, plus ``ingested_at`` and, in ``RESCUE``, the text of lines
+    that cannot be read. ``target`` is a table name, or a path
     with ``sink=append_to_path``."""
-    events = stamp(read_envelopes(spark, source, image, **options))
+    events = stamp(read_envelopes(spark, source, image, rescue=RESCUE, **options))
     return sink(events, target, checkpoint, available_now)
 
 
