@@ -1,20 +1,13 @@
-"""Passages that repeat across texts, by a sparse suffix array.
-
-Of all suffixes of all texts (at word starts) only those at minimiser positions are kept:
-places whose next ``SEED`` words hash lowest within a window of ``GAP`` places. Texts that
-share a passage choose the same places inside it. The suffixes are sorted, here by the hash
-of the ``SEED`` words and then by the words that follow and precede, and neighbours in that
-order are compared and extended to the right and to the left, word by word. A match of at
-least ``MIN_WORDS`` words marks its span in both texts; overlapping spans merge.
-
-A passage of ``MIN_WORDS`` words holds a minimiser with at most ``GAP - 1`` words before it,
-so its remaining words stand right of it. Extension reads ``REACH`` words to the right of a
-place and ``BACK`` to the left; longer matches are chains of such spans, which meet because minimisers are closer
-together than that.
-
-Suffixes whose seed occurs once are dropped after one count with partial aggregates. A seed
-that very many texts share is dealt to several tasks; each of them holds enough of its
-suffixes to find a neighbour for every one.
+"""Passages that repeat across texts, by windows of words under shared minimisers.
+
+A passage repeats if all its windows of ``MIN_WORDS`` words do. Each window belongs to its
+minimiser: the place in it whose next ``SEED`` words hash lowest among its first ``GAP``
+places. Equal windows have equal minimisers at equal distances, so windows whose minimiser's
+seed occurs once are dropped after one count with partial aggregates, and the others meet
+under their seed. There the hashes of whole windows are compared, each with all others: a
+window is marked if it occurs twice, and a text's marked windows merge to spans.
+
+A seed that very many texts share is dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -25,36 +18,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart import runtime
-from eventmart.llm.textops import Texts, chain, hash_ranges, per_chunk
+from eventmart.llm.textops import Texts, chain, hash_ranges, mix, per_chunk
 
 MIN_WORDS = 50
 SEED, GAP = 12, 24
-#: Words compared right and left of a place. The first minimiser of a passage has fewer than
-#: GAP words of it on the left; any GAP seeds in a row hold one, so the last MIN_WORDS words
-#: of a passage hold one with the rest of it on the right.
-REACH, BACK = MIN_WORDS, GAP
-#: Suffixes of one seed that one task compares.
+#: Places of one seed that one task compares.
 DEALT = 1_024
 
 
-def minimisers(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Word positions whose seed hash is the least of some window of ``GAP`` seeds.
+def minimisers(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of all windows of ``MIN_WORDS`` words inside a text, and the minimiser of
+    each: of its first ``GAP`` seeds the place of the least. Both ascend.
 
     Of equal hashes the last one counts. A text with fewer than ``MIN_WORDS`` words has none.
     """
-    seeds = chain(hashes, SEED)
-    n = len(seeds) - GAP + 1
+    n = len(hashes) - MIN_WORDS + 1
     if n <= 0:
-        return np.empty(0, np.int64)
+        return (np.empty(0, np.int64),) * 2
+    seeds = chain(hashes, SEED)[: n + GAP - 1]
     window = np.lib.stride_tricks.sliding_window_view(seeds[::-1], GAP)
     chosen = np.empty(n, np.int64)
     for a in range(0, n, 1 << 16):
         part = window[::-1][a : a + (1 << 16)]
         chosen[a : a + len(part)] = np.arange(a, a + len(part)) + GAP - 1 - part.argmin(axis=1)
-    whole = text[:n] == text[GAP + SEED - 2 :][:n]
-    at = np.unique(chosen[whole])
-    counts = np.bincount(text)
-    return at[counts[text[at]] >= MIN_WORDS]
+    whole = np.flatnonzero(text[:n] == text[MIN_WORDS - 1 :])
+    return whole, chosen[whole]
+
+
+def _whole_windows(hashes: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``MIN_WORDS`` words, put together from runs of doubled length."""
+    n, done, out, run, size = len(hashes) - MIN_WORDS + 1, 0, np.uint64(0), hashes, 1
+    while done < MIN_WORDS:
+        if MIN_WORDS & size:
+            out = mix(out * np.uint64(0xD6E8FEB86659FD93) + run[done : done + n])
+            done += size
+        if done < MIN_WORDS:
+            run = mix(run[:-size] * np.uint64(0xA0761D6478BD642F) + run[size:] + np.uint64(size))
+            size *= 2
+    return out
 
 
 def _words(batch: pa.RecordBatch):
@@ -67,7 +68,7 @@ def _words(batch: pa.RecordBatch):
 def _seeds(batch: pa.RecordBatch) -> pa.RecordBatch:
     """(seed, n): places of each seed, summed over the batch."""
     _, _, _, text, hashes = _words(batch)
-    at = minimisers(hashes, text)
+    at = np.unique(minimisers(hashes, text)[1])
     seeds, n = np.unique(chain(hashes, SEED)[at] if len(at) else np.empty(0, np.uint64),
                          return_counts=True)
     return pa.RecordBatch.from_pydict({"seed": seeds.view(np.int64), "n": n.astype(np.int64)})
@@ -76,7 +77,7 @@ def _seeds(batch: pa.RecordBatch) -> pa.RecordBatch:
 def _places(batch: pa.RecordBatch) -> pa.RecordBatch:
     """(seed, doc, at): every minimiser of every text, and its word position."""
     _, _, _, text, hashes = _words(batch)
-    at = minimisers(hashes, text)
+    at = np.unique(minimisers(hashes, text)[1])
     first = np.searchsorted(text, text[at], "left")
     seeds = chain(hashes, SEED)[at] if len(at) else np.empty(0, np.uint64)
     docs = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -89,67 +90,88 @@ def _places(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Words right and left of each repeated place as bytes of 32-bit hashes.
-
-    ``right`` starts at the place, ``left`` before it and runs backwards. Big-endian bytes
-    sort like the numbers.
-    """
+def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Each repeated place with its windows: the first word of the first one, and a hash of
+    each of them. The windows of a place start at successive words."""
     _, _, _, text, hashes = _words(batch)
-    short = (hashes >> np.uint64(32)).astype(">u4")
-    counts = np.bincount(text, minlength=batch.num_rows)
-    first = np.concatenate([[0], np.cumsum(counts)])
-    rows: dict[str, list] = {c: [] for c in ("seed", "doc", "at", "salt", "right", "left")}
-    docs = batch.column("doc").to_pylist()
-    for k, places in enumerate(batch.column("places").to_pylist()):
-        a, b = int(first[k]), int(first[k + 1])
-        for p in places or ():
-            at = a + p["at"]
-            rows["seed"].append(p["seed"])
-            rows["doc"].append(docs[k])
-            rows["at"].append(p["at"])
-            rows["salt"].append(p["salt"])
-            rows["right"].append(short[at : min(b, at + REACH)].tobytes())
-            rows["left"].append(short[max(a, at - BACK) : at][::-1].tobytes())
-    kinds = {"seed": pa.int64(), "doc": pa.int64(), "at": pa.int32(), "salt": pa.int32()}
+    first = np.searchsorted(text, np.arange(batch.num_rows), "left")
+    held = batch.column("places")
+    places = held.flatten()
+    seed, at, salt = (places.field(c).to_numpy(zero_copy_only=False) for c in ("seed", "at", "salt"))
+    owner = np.repeat(np.arange(batch.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
+    of = np.full(len(hashes) + 1, -1, np.int64)
+    of[first[owner] + at] = np.arange(len(at))
+    begin, chosen = minimisers(hashes, text)
+    begin, row = begin[of[chosen] >= 0], of[chosen]
+    row = row[row >= 0]
+    whole = _whole_windows(hashes)[begin] if len(begin) else np.empty(0, np.uint64)
+    new = np.flatnonzero(np.diff(row, prepend=-1))
+    row, begin = row[new], begin[new]
+    ends = np.append(new, len(whole)).astype(np.int32) * 8
+    docs = batch.column("doc").to_numpy(zero_copy_only=False)
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(whole)]
     return pa.RecordBatch.from_pydict(
-        {c: pa.array(v, kinds.get(c, pa.binary())) for c, v in rows.items()}
+        {
+            "seed": seed[row],
+            "salt": salt[row],
+            "doc": docs[owner[row]],
+            "lo": (begin - first[owner[row]]).astype(np.int32),
+            "windows": pa.Array.from_buffers(pa.binary(), len(row), buffers),
+        }
     )
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Equal words at the start of both."""
-    n = min(len(a), len(b)) // 4
-    differ = np.frombuffer(a, np.uint32, n) != np.frombuffer(b, np.uint32, n)
-    return int(differ.argmax()) if differ.any() else n
-
-
-def _neighbours(batches):
-    """Spans (doc, lo, hi) of words; rows come sorted by seed, salt, right and left."""
-    before = None
+def _groups(batches):
+    """The same rows, in batches that hold all rows of a seed and salt, and for each row the
+    number of its group; rows come sorted by seed and salt."""
+    held = None
     for batch in batches:
-        spans = []
-        for row in zip(*(batch.column(c).to_pylist() for c in _SORTED), strict=True):
-            if before is not None and before[:2] == row[:2]:
-                right = _common(before[2], row[2])
-                left = _common(before[3], row[3])
-                same = before[4] == row[4]
-                if right + left >= MIN_WORDS and not (same and before[5] == row[5]):
-                    spans += [(r[4], r[5] - left, r[5] + right) for r in (before, row)]
-            before = row
-        spans = sorted(set(spans))
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
+            continue
+        group = _numbered(batch)
+        cut = int(np.searchsorted(group, group[-1], "left"))
+        held = batch.slice(cut)
+        if cut:
+            yield batch.slice(0, cut), group[:cut]
+    if held is not None:
+        yield held, np.zeros(held.num_rows, np.int64)
+
+
+def _numbered(batch: pa.RecordBatch) -> np.ndarray:
+    keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("seed", "salt")]
+    return np.cumsum(np.any([np.diff(k, prepend=k[0]) != 0 for k in keys], axis=0))
+
+
+def _repeats(batches):
+    """Spans (doc, lo, hi) of words, of the windows that occur twice in their group."""
+    for batch, group in _groups(batches):
+        doc, lo = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "lo"))
+        windows = batch.column("windows").to_pylist()
+        sizes = np.array([len(w) // 8 for w in windows], np.int64)
+        whole = np.frombuffer(b"".join(windows), np.uint64)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        word = lo[row] + np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
+        order = np.lexsort((whole, group[row]))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(whole[order]) != 0) | (np.diff(group[row[order]]) != 0)
+        times = np.diff(np.append(np.flatnonzero(new), len(order)))
+        twice = np.empty(len(order), bool)
+        twice[order] = np.repeat(times > 1, times)
+        at = np.flatnonzero(twice)
+        fresh = (np.diff(at, prepend=-2) > 1) | (np.diff(row[at], prepend=-1) != 0)
+        a = at[fresh]
+        b = at[np.append(np.flatnonzero(fresh)[1:], len(at)) - 1] if len(at) else a
         yield pa.RecordBatch.from_pydict(
             {
-                "doc": pa.array([s[0] for s in spans], pa.int64()),
-                "lo": pa.array([s[1] for s in spans], pa.int32()),
-                "hi": pa.array([s[2] for s in spans], pa.int32()),
+                "doc": doc[row[a]],
+                "lo": word[a].astype(np.int32),
+                "hi": (word[b] + MIN_WORDS).astype(np.int32),
             }
         )
 
 
-_SORTED = ("seed", "salt", "right", "left", "doc", "at")
-
-
 def _merged(spans) -> list[tuple[int, int]]:
     """Unions of overlapping or touching (lo, hi)."""
     out: list[list[int]] = []
@@ -225,12 +247,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         .select("doc", "text", "places")
         .dropDuplicates(["doc"])
         .mapInArrow(
-            per_chunk(_contexts, "text"),
-            "seed bigint, doc bigint, at int, salt int, right binary, left binary",
+            per_chunk(_windows, "text"),
+            "seed bigint, salt int, doc bigint, lo int, windows binary",
         )
         .repartition("seed", "salt")
-        .sortWithinPartitions(*_SORTED)
-        .mapInArrow(_neighbours, "doc bigint, lo int, hi int")
+        .sortWithinPartitions("seed", "salt")
+        .mapInArrow(_repeats, "doc bigint, lo int, hi int")
         .groupBy("doc")
         .agg(F.collect_set(F.struct("lo", "hi")).alias("found"))
     )

@@ -153,6 +153,47 @@ def test_repeated_passages(spark, monkeypatch):
     assert suffix_dedup.repeated_spans(df.limit(0)).count() == 0
 
 
+def _brute_repeats(texts):
+    """Words of each text in a window of 50 words that occurs twice, as (first, last + 1)."""
+    words = {k: t.split() for k, t in texts.items()}
+    at = {k: [tuple(w[i : i + 50]) for i in range(len(w) - 49)] for k, w in words.items()}
+    times = Counter(w for ws in at.values() for w in ws)
+    hit = {k: sorted({i + d for i, w in enumerate(ws) if times[w] > 1 for d in range(50)})
+           for k, ws in at.items()}
+    out = {}
+    for k, places in hit.items():
+        out[k] = []
+        for i in places:
+            if out[k] and out[k][-1][1] == i:
+                out[k][-1][1] = i + 1
+            else:
+                out[k].append([i, i + 1])
+    return out
+
+
+def _found_repeats(spark, texts, parts=3):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(parts)
+    out = {}
+    for r in suffix_dedup.repeated_spans(df).collect():
+        t = texts[r.doc_id]
+        out[r.doc_id] = [
+            [len(t[: s.start].split()), len(t[: s.start].split()) + s.words] for s in r.spans
+        ]
+        assert all(len(t[s.start : s.end].split()) == s.words for s in r.spans)
+    return out
+
+
+def test_repeats_of_near_copies_against_brute_force(spark):
+    rng, base = random.Random(33), _prose("near", 400).split()
+    texts = {}
+    for k in range(80):
+        words = [f"edit{k}x{i}" if rng.random() < 0.02 else w for i, w in enumerate(base)]
+        texts[k] = " ".join(words)
+    texts[90], texts[91] = " ".join(["a"] * 120), " ".join(["b", "c"] * 26)
+    texts[92], texts[93] = " ".join(base[:49]), " ".join(base[7:57])
+    assert _found_repeats(spark, texts) == _brute_repeats(texts)
+
+
 # --- 4: secrets
 
 
