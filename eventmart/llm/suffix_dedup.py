@@ -7,7 +7,10 @@ seed occurs once are dropped after one count with partial aggregates, and the ot
 under their seed. There the hashes of whole windows are compared, each with all others: a
 window is marked if it occurs twice, and a text's marked windows merge to spans.
 
-A seed that very many texts share is dealt to several tasks.
+A seed that very many texts share is dealt to several tasks by salts. Each of them marks
+what occurs twice in it and passes on every distinct window once; in a second round equal
+windows of all salts meet, one row for each salt at most, and a window that was alone in its
+salt is marked if another salt has it too. So the result does not depend on the salts.
 """
 
 from __future__ import annotations
@@ -97,7 +100,9 @@ def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
     first = np.searchsorted(text, np.arange(batch.num_rows), "left")
     held = batch.column("places")
     places = held.flatten()
-    seed, at, salt = (places.field(c).to_numpy(zero_copy_only=False) for c in ("seed", "at", "salt"))
+    seed, at, salt, dealt = (
+        places.field(c).to_numpy(zero_copy_only=False) for c in ("seed", "at", "salt", "dealt")
+    )
     owner = np.repeat(np.arange(batch.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
     of = np.full(len(hashes) + 1, -1, np.int64)
     of[first[owner] + at] = np.arange(len(at))
@@ -114,6 +119,7 @@ def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
         {
             "seed": seed[row],
             "salt": salt[row],
+            "dealt": dealt[row],
             "doc": docs[owner[row]],
             "lo": (begin - first[owner[row]]).astype(np.int32),
             "windows": pa.Array.from_buffers(pa.binary(), len(row), buffers),
@@ -145,9 +151,12 @@ def _numbered(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _repeats(batches):
-    """Spans (doc, lo, hi) of words, of the windows that occur twice in their group."""
+    """Spans (doc, lo, hi) of words, of the windows that occur twice in their group; and of
+    dealt seeds each distinct window of the group, with its hash and whether it is alone."""
     for batch, group in _groups(batches):
-        doc, lo = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "lo"))
+        doc, lo, dealt = (
+            batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "lo", "dealt")
+        )
         windows = batch.column("windows").to_pylist()
         sizes = np.array([len(w) // 8 for w in windows], np.int64)
         whole = np.frombuffer(b"".join(windows), np.uint64)
@@ -163,11 +172,19 @@ def _repeats(batches):
         fresh = (np.diff(at, prepend=-2) > 1) | (np.diff(row[at], prepend=-1) != 0)
         a = at[fresh]
         b = at[np.append(np.flatnonzero(fresh)[1:], len(at)) - 1] if len(at) else a
+        one = order[new]
+        one = one[dealt[row[one]]]
+        none = np.zeros(len(a), bool)
         yield pa.RecordBatch.from_pydict(
             {
-                "doc": doc[row[a]],
-                "lo": word[a].astype(np.int32),
-                "hi": (word[b] + MIN_WORDS).astype(np.int32),
+                "doc": np.append(doc[row[a]], doc[row[one]]),
+                "lo": np.append(word[a], word[one]).astype(np.int32),
+                "hi": (np.append(word[b], word[one]) + MIN_WORDS).astype(np.int32),
+                "window": pa.array(
+                    np.append(np.zeros(len(a), np.int64), whole[one].view(np.int64)),
+                    mask=np.append(~none, np.zeros(len(one), bool)),
+                ),
+                "alone": np.append(none, ~twice[one]),
             }
         )
 
@@ -235,24 +252,40 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         per_chunk(_places, "text"), "seed bigint, doc bigint, at int"
     )
     salt = F.pmod(F.xxhash64("doc", "at"), F.col("k")).cast("int")
+    dealt = F.col("k") > 1
     held = (
         places.join(seeds, "seed")
-        .select("doc", F.struct("at", "seed", salt.alias("salt")).alias("place"))
+        .select("doc", F.struct("at", "seed", salt.alias("salt"), dealt.alias("dealt")).alias("place"))
         .groupBy("doc")
         .agg(F.collect_set("place").alias("places"))
     )
     held = runtime.written(held, "suffix-places")
-    spans = (
+    marked = (
         keyed.join(held, "doc")
         .select("doc", "text", "places")
         .dropDuplicates(["doc"])
         .mapInArrow(
             per_chunk(_windows, "text"),
-            "seed bigint, salt int, doc bigint, lo int, windows binary",
+            "seed bigint, salt int, dealt boolean, doc bigint, lo int, windows binary",
         )
         .repartition("seed", "salt")
         .sortWithinPartitions("seed", "salt")
-        .mapInArrow(_repeats, "doc bigint, lo int, hi int")
+        .mapInArrow(_repeats, "doc bigint, lo int, hi int, window bigint, alone boolean")
+    )
+    marked = runtime.written(marked, "suffix-windows")
+    span = F.struct("doc", "lo", "hi")
+    across = (
+        marked.where("window is not null")
+        .groupBy("window")
+        .agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("alone"), span)).alias("spans"))
+        .where("n > 1")
+        .select(F.explode("spans").alias("span"))
+        .select("span.*")
+    )
+    spans = (
+        marked.where("window is null")
+        .select("doc", "lo", "hi")
+        .unionByName(across)
         .groupBy("doc")
         .agg(F.collect_set(F.struct("lo", "hi")).alias("found"))
     )

@@ -194,6 +194,16 @@ def test_repeats_of_near_copies_against_brute_force(spark):
     assert _found_repeats(spark, texts) == _brute_repeats(texts)
 
 
+def test_repeats_through_a_run_shared_by_more_texts_than_one_task_compares(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "DEALT", 4)
+    run = _prose("run", 40)
+    texts = {k: f"{_prose(k, 20)} {run} {_prose(f'end{k // 2}', 14)} {_prose(f'tail{k}', 20)}"
+             for k in range(60)}
+    want = _brute_repeats(texts)
+    assert all(want.values())
+    assert _found_repeats(spark, texts) == want
+
+
 # --- 4: secrets
 
 
