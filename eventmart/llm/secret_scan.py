@@ -140,12 +140,11 @@ class Lexer:
         return "".join(parts), first, last, literal
 
     def pairs(self, line: str):
-        """(name, value, start, end) for each assignment of the line."""
+        """(name, value, start, end) for each assignment of the line, also behind comment signs:
+        they stand in URLs and before code that was commented out."""
         target, at = None, 0
         while m := _TOKEN.search(line, at):
             at = m.end()
-            if m.lastgroup == "comment" and m[0] != "#":
-                return
             if m.lastgroup == "name":
                 target = m[0]
             elif m.lastgroup == "string":

@@ -240,6 +240,18 @@ def test_secrets(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_secrets_behind_urls_and_comment_signs():
+    value = "Zx9kLm2Qp7"
+    for text in (
+        f'curl https://host/x -d dbPwd="{value}"', f'// dbPwd = "{value}"', f'-- dbPwd = "{value}"',
+        f'see http://a.b/c and // more -- of it, dbPwd="{value}" # end', f'# dbPwd = "{value}"',
+        f'x = 1 // y = 2 // dbPwd = "{value}"',
+    ):
+        assert [text[a:b] for _, a, b in secret_scan.pair_spans(text)] == [value], text
+    text = f'authKey = "{value}" // dbPwd = "{value}"; see https://x.y/z -- apiKey: {value}'
+    assert [text[a:b] for _, a, b in secret_scan.pair_spans(text)] == [value] * 3
+
+
 # --- 5: tokens
 
 
