@@ -3,7 +3,9 @@
 Base spans come from four patterns. A linear-chain conditional random field adds spans that
 they miss, such as numbers written in groups of words, addresses with the signs spelled out,
 or numbers without a country code. It reads windows of words around every word that holds a
-digit or an at sign; all other words are outside any window and belong to no span.
+digit, an at sign or one spelled out, is a spelled-out dot, or hints at personal data. No
+span that the model may report lies apart from all such words, and a window is widened until
+no span touches its edge.
 
 The model is trained on the small labelled table below, whose rows are sentences with marked
 spans, and decoded by Viterbi in numpy batches over all windows of a batch of texts.
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm import crf
-from eventmart.llm.textops import Texts, per_chunk
+from eventmart.llm.textops import Texts, hash_ranges, per_chunk
 
 # The base patterns.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -33,7 +35,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 
 LABELS = ("O", "phone", "email", "ip", "card", "ident")
-#: Words on each side of a word with a digit or an at sign that the model reads too.
+#: Words on each side of a word that opens a window that the model reads too, at first.
 MARGIN = 3
 
 # The labelled table: spans in brackets, with their label.
@@ -51,6 +53,11 @@ Llame al [phone 91 555 01 23] por la tarde
 write to [email jane.roe at example dot org] soon
 mail : [email bob (at) mail dot net]
 e-mail [email ann[at]corp[dot]com] for more
+reach me under [email tom(at)firm(dot)com] please
+[email office[at]uni[dot]edu] is read daily
+they gave [email lea.sol[at]web[dot]fr] as well
+for example [email max(at)haus(dot)de] said no
+and then [email k_lee[AT]lab[DOT]org] , of course
 contact [email sales at shop dot co dot uk] today
 mail [email info@localhost] now
 send it to [email kim AT post DOT de] please
@@ -100,7 +107,7 @@ _EXAMPLE = re.compile(r"\[(" + "|".join(LABELS[1:]) + r") ((?:\[[a-z]+\]|[^\]])*
 # Feature groups: shape of the word, of both neighbours, number of digits, and a hint word.
 _SHAPES = (
     "none", "word", "at", "dot", "digits1", "digits2", "digits3", "digits4", "digits5",
-    "digits9", "groups-", "groups.", "ip", "paren", "mixed", "atsign", "mark", "plus", "other",
+    "digits9", "groups-", "groups.", "ip", "paren", "mixed", "atsign", "mark", "plus", "other", "glued",
 )
 _HINTS = (
     ("phone", {"call", "number", "phone", "tel", "telefon", "cell", "mobile", "fax", "office",
@@ -136,7 +143,7 @@ _RULES = [
         (r"[(\[]?(?:dot|DOT|punkt|punto|point)[)\]]?", "dot"),
         (r"[^\w\s]+", "mark"),
         (r"[^\W\d_]+(?:['-][^\W\d_]+)*", "word"),
-        (r"(?=.*\[at\]).+", "atsign"),
+        (r"(?i).+[(\[]at[)\]].+", "glued"),
         (r"(?=.*\d)(?=.*[^\W\d_]).+", "mixed"),
     )
 ]
@@ -246,23 +253,34 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def windows(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text of the words of all windows, and offsets of the windows."""
-    starts, ends, text = texts.words()
-    sign = ((texts.data >= 48) & (texts.data <= 57)) | (texts.data == 64)
-    total = np.zeros(len(sign) + 1, np.int64)
-    np.cumsum(sign, out=total[1:])
-    marked = np.flatnonzero(total[ends] > total[starts])
-    near = np.zeros(len(starts) + 1, np.int64)
-    np.add.at(near, np.maximum(marked - MARGIN, 0), 1)
-    np.add.at(near, np.minimum(marked + MARGIN + 1, len(starts)), -1)
+_OPENING = [_SHAPES.index(s) for s in ("at", "dot", "atsign", "glued")]
+
+
+def openers(data: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, shapes: Shapes) -> np.ndarray:
+    """Numbers of the words that open a window; equal words are looked at once."""
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    opens = np.zeros(len(first), bool)
+    for k, (a, b) in enumerate(zip(starts[first].tolist(), ends[first].tolist(), strict=True)):
+        word = data[a:b].decode()
+        shape, hint, digits = shapes.of(word)
+        opens[k] = digits or hint or shape in _OPENING or "@" in word
+    return np.flatnonzero(opens[which])
+
+
+def windows(text: np.ndarray, marked: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words within reach of a marked word of the same text, and offsets of
+    their windows."""
+    near = np.zeros(len(text) + 1, np.int64)
+    lo = np.searchsorted(text, text[marked], "left")
+    hi = np.searchsorted(text, text[marked], "right")
+    np.add.at(near, np.maximum(marked - reach, lo), 1)
+    np.add.at(near, np.minimum(marked + reach + 1, hi), -1)
     rows = np.flatnonzero(np.cumsum(near[:-1]) > 0)
     if not len(rows):
-        return starts[rows], ends[rows], text[rows], np.zeros(1, np.int64)
+        return rows, np.zeros(1, np.int64)
     fresh = np.ones(len(rows), bool)
     fresh[1:] = (np.diff(rows) > 1) | (np.diff(text[rows]) > 0)
-    offsets = np.append(np.flatnonzero(fresh), len(rows))
-    return starts[rows], ends[rows], text[rows], offsets
+    return rows, np.append(np.flatnonzero(fresh), len(rows))
 
 
 def _likely(kind: str, value: str) -> bool:
@@ -282,13 +300,26 @@ def _likely(kind: str, value: str) -> bool:
 def model_spans(texts: Texts, model: crf.Crf, shapes: Shapes) -> list[list[tuple[str, int, int]]]:
     """Spans of the model for each text, in code points."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in range(texts.n)]
-    starts, ends, text, offsets = windows(texts)
-    if not len(starts):
-        return out
+    starts, ends, text = texts.words()
     data = texts.data.tobytes()
-    words = [data[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    features = shapes.features(words, offsets)
-    labels = model.decode(features, offsets)
+    marked = openers(data, starts, ends, hash_ranges(texts.data, starts, ends), shapes)
+    if not len(marked):
+        return out
+    reach = np.full(len(marked), MARGIN)
+    while True:
+        rows, offsets = windows(text, marked, reach)
+        a, b = starts[rows].tolist(), ends[rows].tolist()
+        words = [data[x:y].decode() for x, y in zip(a, b, strict=True)]
+        features = shapes.features(words, offsets)
+        labels = model.decode(features, offsets)
+        low, high = offsets[:-1], offsets[1:] - 1
+        before, after = np.maximum(rows[low] - 1, 0), np.minimum(rows[high] + 1, len(text) - 1)
+        cut = (labels[low] > 0) & (rows[low] > 0) & (text[before] == text[rows[low]])
+        cut |= (labels[high] > 0) & (rows[high] < len(text) - 1) & (text[after] == text[rows[high]])
+        if not cut.any():
+            break
+        reach[cut[np.searchsorted(rows[low], marked, "right") - 1]] *= 2
+    starts, ends, text = starts[rows], ends[rows], text[rows]
     window = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     new = np.ones(len(labels), bool)
     new[1:] = (labels[1:] != labels[:-1]) | (window[1:] != window[:-1])

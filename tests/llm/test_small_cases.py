@@ -313,6 +313,25 @@ def test_private_data(spark):
     assert pii_crf.scan(df.limit(0)).count() == 0
 
 
+def test_addresses_spelled_out_without_digits(spark):
+    texts = {
+        "write to jane.roe at example dot org soon": "jane.roe at example dot org",
+        "mail : bob (at) mail dot net": "bob (at) mail dot net",
+        "e-mail ann[at]corp[dot]com for more": "ann[at]corp[dot]com",
+        "contact sales at shop dot co dot uk today": "sales at shop dot co dot uk",
+        "he said kim.b(at)web(dot)de works": "kim.b(at)web(dot)de",
+        "one two three four five mail : bob (at) mail dot net": "bob (at) mail dot net",
+        "contact sales at a dot b dot c dot d dot e dot f dot org today":
+            "sales at a dot b dot c dot d dot e dot f dot org",
+        "we met at noon and left": None,
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii_crf.scan(df).collect():
+        want = texts[r.text]
+        got = [(s.kind, r.text[s.start : s.end]) for s in r.spans]
+        assert got == ([("email_like", want)] if want else []), r.text
+
+
 # --- 7: quality
 
 
