@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,11 +44,29 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{tempfile.mkdtemp(prefix='eventmart-')}/{label}"
 
 
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to a fresh workspace folder and read back, which cuts its lineage."""
     path = workspace(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[back] = path
+    return back
+
+
+def released(*frames: DataFrame) -> None:
+    """Delete the folders of frames that ``written`` returned and nothing reads any more.
+
+    Call it when all that was derived from them has itself been written.
+    """
+    for df in frames:
+        path = _FOLDERS.pop(df, None)
+        if path is not None:
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager
