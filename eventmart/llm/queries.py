@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm import (
+    collocations,
     ego_join,
     jaccard_join,
     line_dedup,
+    maxscore,
     mixing,
     pii_crf,
     piece_codec,
@@ -18,6 +20,7 @@ from eventmart.llm import (
     secret_scan,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,3 +240,81 @@ def op8_mixing(spark, sf_dir):
 )
 def op10_ngram_jaccard(spark, sf_dir):
     return jaccard_join.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+@_query(
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(string_split_regex(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents
+    ), worded AS (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+    ), places AS (
+      SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+    ), counted AS (
+      SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+      FROM places, (SELECT unnest([1, 2, 3, 4, 5]) AS m)
+      WHERE i + m - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+    ), totals AS (
+      SELECT lang, sum(len(w))::HUGEINT AS n FROM worded GROUP BY lang
+    ), candidates AS (
+      SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m >= 2
+    ), cuts AS (
+      SELECT c.lang, c.phrase, c.a, t.n, k, x.f AS l, y.f AS r,
+             (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score
+      FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+      JOIN totals t ON t.lang = c.lang
+      JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+      JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+    ), held AS (
+      SELECT DISTINCT lang, array_to_string(w[i:j], ' ') AS phrase, a
+      FROM (SELECT *, unnest(range(i + 1, m + 1)) AS j
+            FROM (SELECT *, unnest(range(1, m)) AS i FROM candidates))
+      WHERE j - i + 1 < m
+    ), lowest AS (
+      SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM lowest o
+      WHERE NOT EXISTS (SELECT 1 FROM held h
+                        WHERE h.lang = o.lang AND h.phrase = o.phrase AND h.a >= o.a)
+    )
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM ranked WHERE rank <= 2000
+    """
+)
+def op11_collocations(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.top_phrases(docs)
+
+
+@_query(
+    """
+    WITH whole AS (
+      SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    ), scores AS (
+      SELECT q.vec_id AS query_id, d.vec_id,
+             list_inner_product(q.x::DOUBLE[], d.x::DOUBLE[])::BIGINT AS score
+      FROM whole q JOIN whole d ON q.vec_id <> d.vec_id AND len(q.x) = len(d.x)
+      WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+      FROM scores)
+    WHERE rank <= 5
+    """
+)
+def op12_maxscore(spark, sf_dir):
+    return maxscore.search(_read(spark, sf_dir, "embeddings"))
+
+
+@_query()
+def op13_whitening(spark, sf_dir):
+    white = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("bigint"))
