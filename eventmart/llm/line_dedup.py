@@ -46,7 +46,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     Repeated windows are counted with partial aggregates, so a passage that many documents
     share meets its first place as one row per task. They are then written to the shared
-    folder, which lets the join with all windows split a hot window over tasks.
+    folder, which lets the join with all windows split a hot window over tasks. Both joins
+    are sort-merge joins at every size of the tables, and texts of fewer than three lines,
+    which can lose nothing, go around the second one.
     """
     docs = docs.drop("n_lines", "n_removed")
     key = {"__null": F.col(doc_id).isNull(), "__id": F.col(doc_id), "__text": F.xxhash64(text)}
@@ -66,7 +68,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     )
     repeated = runtime.written(repeated, "line-windows")
     later = (
-        places.join(repeated, ["h1", "h2"])
+        places.join(repeated.hint("merge"), ["h1", "h2"])
         .where(place != F.col("first"))
         .groupBy(*key)
         .agg(F.collect_set("pos").alias("later"))
@@ -77,21 +79,28 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         F.col("d.__id").eqNullSafe(F.col("r.__id")),
         F.col("d.__text") == F.col("r.__text"),
     ]
-    joined = keyed.alias("d").join(later.alias("r"), same, "left")
+    long = F.coalesce(F.regexp_count(text, F.lit("\n")) >= WINDOW - 1, F.lit(False))
+    joined = keyed.where(long).alias("d").join(later.hint("merge").alias("r"), same, "left")
     covered = F.array_distinct(
         F.flatten(F.transform("r.later", lambda p: F.array(*[p + k for k in range(WINDOW)])))
     )
     lines = F.split(F.col(f"d.{text}"), "\n", -1)
-    n_lines = F.when(F.col(f"d.{text}").isNull(), 0).otherwise(F.size(lines)).cast("bigint")
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
     shorter = F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n")
-    return joined.select(
+    shortened = joined.select(
         *[
             F.when(F.col("r.later").isNull(), F.col(f"d.{text}")).otherwise(shorter).alias(c)
             if c == text
             else F.col(f"d.`{c}`")
             for c in docs.columns
         ],
-        n_lines.alias("n_lines"),
+        F.size(lines).cast("bigint").alias("n_lines"),
         F.coalesce(F.size(covered), F.lit(0)).cast("bigint").alias("n_removed"),
     )
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.regexp_count(text, F.lit("\n")) + 1)
+    short = docs.where(~long).select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        n_lines.cast("bigint").alias("n_lines"),
+        F.lit(0).cast("bigint").alias("n_removed"),
+    )
+    return shortened.unionAll(short)
