@@ -437,6 +437,37 @@ def landed_exports(spark, sf_dir):
     return _zoneless(landed, "_ingested_at")
 
 
+def _write_pretty(df: DataFrame, path: str, rows_per_file: int = 5_000) -> None:
+    """An export as pretty-printed JSON arrays, in as many files as it needs."""
+    parts = max(1, -(-df.count() // rows_per_file))
+    dealt = df.withColumn("__file", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+    arrays = dealt.groupBy("__file").agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
+    text = arrays.select(F.to_json("rows", {"pretty": "true"}).alias("value"))
+    text.write.option("maxRecordsPerFile", 1).text(path)
+
+
+@_query(f"""
+SELECT c_custkey, c_acctbal, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment,
+       CAST(NULL AS VARCHAR) AS _corrupt_record, {_LOADED_SQL} AS _ingested_at
+FROM customer""")
+def landed_once(spark, sf_dir):
+    """Customers as pretty-printed event exports of which two columns are declared. The job
+    runs after each export and once more; every file lands once."""
+    base = runtime.workspace(spark, "ledger")
+    customers = _read(spark, sf_dir, "customer")
+    declared = customers.select("c_custkey", "c_acctbal").schema
+    for part in (0, 1, None):
+        if part is not None:
+            rows = customers.filter(F.col("c_custkey") % 2 == part)
+            _write_pretty(rows, f"{base}/raw/customer_2024010{part + 1}_000000.json")
+        jobs.load_export(
+            spark, f"{base}/raw", "customer", f"{base}/archive", ts=_LOADED, schema=declared,
+            keep_all=True,
+        )
+    landed = files.read_parquet(spark, f"{base}/archive/customer").drop("load")
+    return _zoneless(landed, "_ingested_at")
+
+
 @_query(f"SELECT *, {_LOADED_SQL} AS ingested_at FROM orders")
 def load_stamp(spark, sf_dir):
     return _zoneless(clean.stamp(_read(spark, sf_dir, "orders"), ts=_LOADED), "ingested_at")
@@ -804,8 +835,8 @@ ruled AS (
   WHERE place = 1)"""
 
 
-def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions with the rule in force; each part gives its user two rules."""
+def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part gives its user two rules."""
     hour = F.lpad((F.col("p_size") % 24).cast("string"), 2, "0")
     wide = _read(spark, sf_dir, "part").select(
         "p_partkey",
@@ -826,8 +857,12 @@ def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
         "day_range": ("fromday", "string"),
         "type_desc": ("typedesc", "string"),
     }
-    rules = reshape.unpivot_slots(wide, ["p_partkey"], fields, 2, "rule_number", "type_desc")
-    sessions = _sessions(spark, sf_dir)
+    return reshape.unpivot_slots(wide, ["p_partkey"], fields, 2, "rule_number", "type_desc")
+
+
+def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions with the rule in force at arrival."""
+    sessions, rules = _sessions(spark, sf_dir), _rules(spark, sf_dir)
     return kpi.rule_in_force(sessions, rules, "user_id", "arrival_time", "p_partkey")
 
 
@@ -847,6 +882,47 @@ def kpi_minutes_by_rule(spark, sf_dir):
     return kpi.minutes_by_rule_type(_ruled(spark, sf_dir))
 
 
+@_query(f"""WITH {_RULED},
+points AS (
+  SELECT session_id, user_id, arrival_time, departure_time, arrival_time AS moment FROM sessions
+  UNION SELECT session_id, user_id, arrival_time, departure_time, departure_time FROM sessions
+  UNION SELECT session_id, user_id, arrival_time, departure_time, edge
+  FROM (SELECT s.*, day + to_minutes(m) AS edge
+        FROM (SELECT *, unnest(generate_series(date_trunc('day', arrival_time)::TIMESTAMP,
+                                               departure_time, INTERVAL 1 DAY)) AS day
+              FROM sessions) s
+        JOIN (SELECT p_partkey, unnest([begins, ends, 0]) AS m FROM rules
+              UNION SELECT DISTINCT user_id, 0 FROM sessions) r ON r.p_partkey = s.user_id)
+  WHERE edge > arrival_time AND edge < departure_time),
+segments AS (
+  SELECT * FROM (
+    SELECT session_id, user_id, moment,
+           date_diff('microsecond', moment, lead(moment) OVER (PARTITION BY session_id ORDER BY moment))
+             AS micros
+    FROM points)
+  WHERE micros > 0),
+held AS (
+  SELECT g.*, (SELECT arg_min(rule_type, rule_number) FROM rules r
+               WHERE r.p_partkey = g.user_id AND (
+                 (begins < ends AND (day IS NULL OR day = dayofweek(moment))
+                  AND hour(moment) * 60 + minute(moment) >= begins AND hour(moment) * 60 + minute(moment) < ends)
+                 OR (begins >= ends AND (day IS NULL OR day = dayofweek(moment))
+                     AND hour(moment) * 60 + minute(moment) >= begins)
+                 OR (begins >= ends AND (day IS NULL OR day = (dayofweek(moment) + 6) % 7)
+                     AND hour(moment) * 60 + minute(moment) < ends))) AS rule_type
+  FROM segments g)
+SELECT rule_type, count(*) AS segments, sum(micros)::DOUBLE / 6e7 AS total_minutes
+FROM held GROUP BY 1""")
+def kpi_minutes_along_stay(spark, sf_dir):
+    """Minutes under each rule, a stay being cut where the rule in force changes."""
+    return kpi.minutes_along_stay(
+        kpi.rules_along_stay(
+            _sessions(spark, sf_dir), _rules(spark, sf_dir),
+            "user_id", "arrival_time", "departure_time", "p_partkey",
+        )
+    )
+
+
 # --- streams -----------------------------------------------------------------------------
 
 
@@ -864,12 +940,17 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _drained(spark: SparkSession, label: str, stream: Callable[[], DataFrame]) -> DataFrame:
-    """Run a stream to its end into files and read them back."""
+def _drained_to(spark: SparkSession, label: str, stream: Callable[[], DataFrame]) -> str:
+    """Run a stream to its end into files; gives their folder."""
     base = runtime.workspace(spark, label)
     with _stream_settings(spark):
         io.drain(io.append_to_path(stream(), f"{base}/rows", f"{base}/checkpoint"))
-    return spark.read.parquet(f"{base}/rows")
+    return f"{base}/rows"
+
+
+def _drained(spark: SparkSession, label: str, stream: Callable[[], DataFrame]) -> DataFrame:
+    """Run a stream to its end into files and read them back."""
+    return spark.read.parquet(_drained_to(spark, label, stream))
 
 
 @_query("""
@@ -935,6 +1016,18 @@ def stream_tables(spark, sf_dir):
     return spark.table(silver)
 
 
+@_query("SELECT event_id, user_id, event_type FROM events")
+def stream_shared_table(spark, sf_dir):
+    """Two queries under checkpoints of their own append to one table, each run twice."""
+    base, name = runtime.workspace(spark, "shared"), _table_name(spark, "shared")
+    for part in (0, 1):
+        rows = _event_stream(spark, sf_dir).filter(F.pmod("event_id", F.lit(2)) == part)
+        for _ in range(2):
+            rows = rows.select("event_id", "user_id", "event_type")
+            io.drain(io.append_batches(rows, name, f"{base}/checkpoint-{part}"))
+    return spark.table(name).drop("_batch")
+
+
 @_query("SELECT DISTINCT user_id, ts, event_type FROM events")
 def stream_dedup(spark, sf_dir):
     """Every event arrives twice; one copy stays."""
@@ -982,22 +1075,39 @@ def stream_alerts(spark, sf_dir):
     return _zoneless(rows, "window_start", "window_end")
 
 
-_SETTLED = f"""WITH settled AS (
-  SELECT * FROM events
-  WHERE ts < (SELECT date_trunc('day', max(ts) - INTERVAL 10 MINUTE) FROM events)),
-{_SESSIONS.replace("FROM events)", "FROM settled)")}
-SELECT * FROM sessions"""
+@_query(f"""WITH {_WINDOWS}, sides AS (
+  SELECT user_id, window_end, occupied_share, occupied_share >= 0.5 AS above,
+         lag(occupied_share >= 0.5) OVER (PARTITION BY user_id ORDER BY window_end) AS before
+  FROM windows WHERE window_end < (SELECT max(window_end) FROM windows))
+SELECT user_id, window_end AS crossed_at, occupied_share, above FROM sides
+WHERE above <> coalesce(before, false)""")
+def stream_crossings(spark, sf_dir):
+    """Moments at which a user's share of a window crosses one half, from the stream of
+    closed windows. The last window of all is still younger than the watermark."""
+    folder = _drained_to(spark, "windows", lambda: _occupancy_stream(spark, sf_dir))
+    schema = spark.read.parquet(folder).schema
+    rows = _drained(
+        spark,
+        "crossings",
+        lambda: windows.crossings(
+            io.read_parquet_stream(spark, folder, schema),
+            ["user_id"], "window_end", "occupied_share", 0.5,
+        ),
+    )
+    return _zoneless(rows, "crossed_at")
 
 
-@_query(_SETTLED, "stream_sessions")
+@_query(f"""WITH {_SESSIONS}
+SELECT * FROM sessions
+WHERE departure_time < (SELECT date_trunc('milliseconds', max(ts)) FROM events)
+                       - INTERVAL 10 MINUTE""", "stream_sessions")
 def drained_sessions(spark, sf_dir):
-    """Sessions of all whole days the watermark has closed."""
-    rows = _drained(
+    """All sessions but those whose end is younger than the watermark."""
+    return _drained(
         spark,
         "sessions",
-        lambda: stream_sessions.slice_neighbours(
+        lambda: stream_sessions.settled_sessions(
             _event_stream(spark, sf_dir), "user_id", "event_type", "ts", "view", "purchase",
-            ["event_id"], slice_ms=86_400_000,
+            ["event_id"],
         ),
     )
-    return stream_sessions.sessions(rows, "user_id", "view", "purchase")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.keys import surrogate_key
+from eventmart.functions.time import epoch_micros
 from eventmart.operators.sessions import with_next
 from eventmart.operators.skew import large_keys, slice_of, with_grid
 
@@ -104,6 +105,10 @@ def with_version_id(hist: DataFrame, keys: Sequence[str], name: str = "version_i
     return hist.select(surrogate_key(*keys, FROM).alias(name), *hist.columns)
 
 
+# Facts and versions of one key within so many seconds are one group of a window.
+AS_OF_SECONDS = 86_400
+
+
 def join_as_of(
     fact: DataFrame,
     hist: DataFrame,
@@ -111,7 +116,8 @@ def join_as_of(
     ts: str,
     closed: str = "left",
     how: str = "inner",
-    versions_per_slice: int | None = 64,
+    versions_per_slice: int | str | None = "carry",
+    slice_seconds: int = AS_OF_SECONDS,
 ) -> DataFrame:
     """Each fact row with the versions of its key valid at ``ts``.
 
@@ -119,14 +125,138 @@ def join_as_of(
     history; ``"both"`` takes BETWEEN, which gives two rows on the very instant of a change.
     A NULL ``valid_to`` is open.
 
-    An equi-join on the key with the range as a residual would compare every fact of a key
-    with all its versions. Keys with more than ``versions_per_slice`` versions are therefore
-    cut into time slices that become part of the join key; a version is copied only into the
-    slices it overlaps. Which side is broadcast is left to the measured sizes, and a
-    fact-heavy key is split by the adaptive skew join.
+    Facts and versions are one stream, sorted by time in each key and slice of time, in which
+    the last version is carried along; no fact is compared with a version it does not meet.
+    Over the edges of slices the version is carried once for each slice that holds a fact.
+    A version that runs past the start of the key's next one cannot be carried: it is handed
+    to all slices it overlaps, up to the last fact. The slices only deal out the work.
+
+    A number or ``None`` for ``versions_per_slice`` joins on the key instead, keys with more
+    versions than that cut into slices; a history small enough to be broadcast then leaves
+    the facts where they are. So do joins other than inner and left.
     """
     if closed not in ("left", "both"):
         raise ValueError("closed must be 'left' or 'both'")
+    if versions_per_slice == "carry" and how in ("inner", "left"):
+        return _by_carry(fact, hist, keys, ts, closed == "both", how, slice_seconds)
+    cut = None if versions_per_slice == "carry" else versions_per_slice
+    return _by_key(fact, hist, keys, ts, closed, how, cut)
+
+
+def _by_carry(
+    fact: DataFrame,
+    hist: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    both: bool,
+    how: str,
+    slice_seconds: int,
+) -> DataFrame:
+    named = [f"__k{i}" for i in range(len(keys))]
+    group = [*named, "__slice"]
+    at, until = F.col("__at"), F.col("__to")
+    keyed = [F.col(k).alias(n) for k, n in zip(keys, named, strict=True)]
+    has_key = reduce(lambda a, b: a & b, (F.col(n).isNotNull() for n in named))
+    slice_ = F.floor(F.col("__at") / F.lit(slice_seconds * 1_000_000))
+
+    # versions that can hold at some instant, and where the key's next one starts
+    versions = hist.select(
+        *keyed,
+        F.col(FROM).alias("__from"),
+        epoch_micros(FROM).alias("__at"),
+        epoch_micros(TO).alias("__to"),
+        F.struct(*(c for c in hist.columns if c not in keys)).alias("__body"),
+    ).filter(has_key & at.isNotNull() & (until.isNull() | (at <= until if both else at < until)))
+    versions = with_next(
+        versions, named, "__from", ["__at"], ["__to"], slice_seconds=slice_seconds
+    )
+    runs_past = F.col("next___at").isNotNull() & (
+        until.isNull() | (until > F.col("next___at")) | (at == until) & (until == F.col("next___at"))
+    )
+    versions = versions.select(
+        *named, "__at", "__to", F.struct("__at", "__to", "__body").alias("__v"),
+        runs_past.alias("__past"),
+    )
+    plain, past = versions.filter("NOT __past"), versions.filter("__past")
+
+    # facts without key or time meet nothing; their slices only spread them
+    rows = fact.select(*keyed, epoch_micros(ts).alias("__at"), F.struct("*").alias("__f"))
+    placed = F.when(has_key & at.isNotNull(), slice_).otherwise(F.xxhash64("__f"))
+    rows = rows.select("*", placed.alias("__slice"), F.lit(2).alias("__kind"))
+    stream = rows.unionByName(
+        plain.select(*named, "__at", "__v", slice_.alias("__slice"), F.lit(1).alias("__kind")),
+        allowMissingColumns=True,
+    )
+    if both:
+        ends = plain.filter(until.isNotNull()).select(
+            *named, until.alias("__at"), F.col("__v").alias("__e"), F.lit(0).alias("__kind")
+        )
+        stream = stream.unionByName(
+            ends.withColumn("__slice", slice_), allowMissingColumns=True
+        )
+    so_far = (
+        Window.partitionBy(*group)
+        .orderBy("__at", "__kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    seen = [F.last("__v", ignorenulls=True).over(so_far).alias("__v")]
+    if both:
+        seen.append(F.last("__e", ignorenulls=True).over(so_far).alias("__e"))
+    met = stream.select(*group, "__at", "__kind", "__f", *seen).filter("__kind = 2")
+
+    # the version in force when a slice begins, for slices with facts
+    used = fact.select(*keyed, epoch_micros(ts).alias("__at")).filter(has_key & at.isNotNull())
+    used = used.select(*named, slice_.alias("__slice")).distinct()
+    lasts = plain.groupBy(*named, slice_.alias("__slice")).agg(F.max_by("__v", "__at").alias("__v"))
+    lasts = lasts.unionByName(used, allowMissingColumns=True)
+    lasts = lasts.groupBy(*group).agg(F.first("__v", ignorenulls=True).alias("__v"))
+    earlier = Window.partitionBy(*named).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select(
+        *group, F.last("__v", ignorenulls=True).over(earlier).alias("__before")
+    ).filter("__before IS NOT NULL")
+
+    # versions that overlap others, in every slice they reach up to the last fact
+    final = used.agg(F.max("__slice").alias("__final"))
+    reach = F.least(
+        F.coalesce(F.floor(until / F.lit(slice_seconds * 1_000_000)), F.col("__final")),
+        F.col("__final"),
+    )
+    copies = (
+        past.crossJoin(F.broadcast(final))  # one row
+        .filter(slice_ <= reach)
+        .select(*named, F.explode(F.sequence(slice_, reach)).alias("__slice"), "__v")
+    )
+    copies = copies.groupBy(*group).agg(F.collect_list("__v").alias("__others"))
+
+    joined = met.join(carried, group, "left").join(copies, group, "left")
+    current = F.coalesce("__v", "__before")
+    before_end = lambda v: v["__to"].isNull() | (
+        (at <= v["__to"]) if both else (at < v["__to"])
+    )
+    none = F.array().cast(f"array<{met.schema['__v'].dataType.simpleString()}>")
+    others = F.filter("__others", lambda v: (v["__at"] <= at) & before_end(v))
+    found = [
+        F.filter(F.array(current), lambda v: v.isNotNull() & before_end(v)),
+        F.coalesce(others, none),
+    ]
+    if both:
+        ended = (F.col("__e.__to") == at) & (F.col("__v.__at") == at)
+        found.append(F.when(ended, F.array("__e")).otherwise(none))
+    explode = F.explode_outer if how == "left" else F.explode
+    return joined.select("__f", explode(F.concat(*found)).alias("__v")).select(
+        "__f.*", "__v.__body.*"
+    )
+
+
+def _by_key(
+    fact: DataFrame,
+    hist: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    closed: str,
+    how: str,
+    versions_per_slice: int | None,
+) -> DataFrame:
     versions = hist.select(
         *(F.col(k).alias(f"__h_{k}") for k in keys),
         *(c for c in hist.columns if c not in keys),

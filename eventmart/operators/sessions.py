@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.keys import surrogate_key
-from eventmart.functions.time import minutes_between
+from eventmart.functions.time import epoch_micros, minutes_between
 from eventmart.operators.skew import in_slices
 
-ROWS_PER_SLICE = 1_000_000
+# Rows of one key within so many seconds are one group of a window.
+SLICE_SECONDS = 3_600
 
 
 def with_next(
@@ -20,25 +21,61 @@ def with_next(
     ts: str,
     carry: Sequence[str],
     tie_break: Sequence[str] = (),
-    rows_per_slice: int | None = ROWS_PER_SLICE,
+    rows_per_slice: int | str | None = "time",
     collapse_copies: bool = False,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Add ``next_<c>`` for each column of ``carry``: its value in the key's next row.
 
-    Order is (``ts``, ``tie_break``), NULL times first. One shuffle on the key; a key above
-    ``rows_per_slice`` rows is cut into time slices, each with a copy of the following
-    slice's first row behind its own, so every row still meets its true successor.
+    Order is (``ts``, ``tie_break``), NULL times first. A key is cut at multiples of
+    ``slice_seconds``, so that a busy key is spread over tasks; rows are read and shuffled
+    once, by key and slice. The last row of a slice finds its successor in a second window
+    over the first and last row of each slice of a key, whose number the calendar bounds.
 
-    The plan is the same at every size of the input. ``None`` never cuts.
+    A number for ``rows_per_slice`` cuts keys above it adaptively instead, for rows that
+    crowd into few slices, at the price of two counting passes; ``None`` never cuts. The
+    plan is the same at every size of the input, and results do not depend on the slices.
 
     Time cannot separate exact copies of one row. ``collapse_copies`` keeps one copy of each
-    row of an overfull slice, by an aggregation that starts before the shuffle; use it where
-    a copy behind its original changes nothing.
+    row (of overfull slices, where the cut is adaptive), by an aggregation that starts before
+    the shuffle; use it where a copy behind its original changes nothing.
     """
     order = [ts, *tie_break]
     if rows_per_slice is None:
         return _lead(df, keys, order, carry)
+    if rows_per_slice == "time":
+        rows = df.dropDuplicates() if collapse_copies else df
+        return _by_time(rows, keys, order, carry, slice_seconds)
+    return _by_count(df, keys, order, carry, rows_per_slice, collapse_copies)
+
+
+def _by_time(df: DataFrame, keys, order, carry, slice_seconds: int) -> DataFrame:
+    number = F.floor(epoch_micros(order[0]) / F.lit(slice_seconds * 1_000_000))
+    sliced = df.withColumn("__slice", number)
+    inside = Window.partitionBy(*keys, "__slice").orderBy(*order)
+    stepped = _lead(
+        sliced.withColumns(
+            {
+                "__first": F.row_number().over(inside) == 1,
+                "__last": F.lead(F.lit(True)).over(inside).isNull(),
+            }
+        ),
+        [*keys, "__slice"],
+        order,
+        carry,
+    )
+    following = [f"next_{c}" for c in carry]
+    # Both branches read the same exchange, which is made once.
+    edges = stepped.filter("__first OR __last").drop(*following)
+    across = _lead(edges, keys, ["__slice", "__last"], carry).filter("__last")
+    columns = [*df.columns, *following]
+    return stepped.filter("NOT __last").select(*columns).unionByName(across.select(*columns))
+
 
+def _by_count(
+    df: DataFrame, keys, order, carry, rows_per_slice: int, collapse_copies: bool
+) -> DataFrame:
+    ts = order[0]
     sliced = in_slices(df, keys, ts, rows_per_slice)
 
     # First row of each slice, found by partial aggregation over the large keys only, then
@@ -83,7 +120,7 @@ def state_sessions(
     end: str,
     tie_break: Sequence[str] = (),
     names: tuple[str, str] = ("arrival_time", "departure_time"),
-    rows_per_slice: int | None = ROWS_PER_SLICE,
+    rows_per_slice: int | str | None = "time",
     keep_open: bool = False,
 ) -> DataFrame:
     """One row per ``start`` state whose very next row of the same key is an ``end`` state.

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventmart import runtime
 from eventmart.operators.clean import stamp
 from eventmart.operators.dedup import distinct_rows
 from eventmart.operators.reshape import stringify_nested
 from eventmart.plans import parking
-from eventmart.sources import files, sinks
+from eventmart.sources import files, ledger, sinks
 from eventmart.streaming import io, layers
 
 
@@ -32,38 +33,67 @@ def load_export(
     ts: datetime | None = None,
     schema: T.StructType | None = None,
     multi_line: bool = True,
+    keep_all: bool | None = None,
+    consumed_dir: str | None = None,
 ) -> None:
     """Land one export: parquet under ``<archive>/<prefix>`` and, if given, a database table.
 
-    Event exports append all their files; reference exports replace the table by the last
-    one. Without any file nothing is written. All columns are kept: those that ``schema`` (by
-    default the preset's) does not declare arrive as text, and records that cannot be read
-    as text in ``_corrupt_record``. ``jdbc(df, table, mode)`` does the database write, for
-    instance a closure over ``sinks.write_jdbc``.
+    Event exports (``keep_all``, by default the preset's) land each file once, however often
+    the job runs: a ledger at ``<archive>/<prefix>__loads`` remembers them, and each load has
+    a folder ``load=<id>`` of its own, which a load that is done again replaces. Reference
+    exports replace the table by the last one. Without any file nothing is written.
+    ``consumed_dir`` takes the files that have been read, over those of the same name.
+
+    All columns are kept: those that ``schema`` (by default the preset's) does not declare
+    arrive as text, and records that cannot be read as text in ``_corrupt_record``.
+    ``jdbc(df, table, mode)`` does the database write, for instance a closure over
+    ``sinks.write_jdbc``; rows of a load carry its id as ``_load_id``, by which a load that
+    is done again can be told from the first try.
     """
-    if files.latest_snapshot(spark, raw_dir, prefix) is None:
-        return  # nothing came; a reference table keeps its rows
-    keep_all = prefix in parking.HISTORY_EXPORTS
-    raw = files.read_json_snapshots(
-        spark,
-        raw_dir,
-        prefix,
-        schema or parking.RAW[prefix],
-        "history" if keep_all else "snapshot",
-        multi_line,
-        unknown=True,
-        rescue=layers.RESCUE,
-    )
-    mode = "append" if keep_all else "overwrite"
-    rows = landed_rows(raw, ts)
+    if keep_all is None:
+        keep_all = prefix in parking.HISTORY_EXPORTS
+    landed, table = f"{archive}/{prefix}", f"raw_{prefix}"
+
+    def rows_of(mode: str, paths: list[str] | None = None) -> DataFrame:
+        raw = files.read_json_snapshots(
+            spark,
+            raw_dir,
+            prefix,
+            schema or parking.RAW[prefix],
+            mode,
+            multi_line,
+            unknown=True,
+            rescue=layers.RESCUE,
+            paths=paths,
+        )
+        return landed_rows(raw, ts)
 
-    def to_archive(df: DataFrame) -> None:
-        sinks.write_parquet(df, f"{archive}/{prefix}", mode, partition_by)
+    def write(rows: DataFrame, path: str, to_database: Callable[[DataFrame], None]) -> None:
+        def to_archive(df: DataFrame) -> None:
+            sinks.write_parquet(df, path, "overwrite", partition_by)
 
-    if jdbc is None:
-        to_archive(rows)
-    else:
-        sinks.dual_write(rows, lambda df: jdbc(df, f"raw_{prefix}", mode), to_archive)
+        if jdbc is None:
+            to_archive(rows)
+        else:
+            sinks.dual_write(rows, to_database, to_archive)
+
+    seen = [r["path"] for r in files.exports(spark, raw_dir, prefix).collect()]
+    if keep_all:
+        loads = f"{landed}__loads"
+        if seen:
+            ledger.plan(spark.createDataFrame([(p,) for p in seen], "path string"), loads)
+        for load, paths in ledger.waiting(spark, loads, landed).items():
+            write(
+                rows_of("history", paths),
+                f"{landed}/load={load}",
+                lambda df, load=load: jdbc(df.withColumn("_load_id", F.lit(load)), table, "append"),
+            )
+    elif seen:
+        # nothing came otherwise; a reference table keeps its rows
+        write(rows_of("snapshot"), landed, lambda df: jdbc(df, table, "overwrite"))
+    if consumed_dir:
+        for path in seen:
+            runtime.move(spark, path, consumed_dir)
 
 
 def load_new_exports(
@@ -101,12 +131,14 @@ def load_new_exports(
         def to_archive(df: DataFrame) -> None:
             sinks.write_parquet(df, f"{archive}/{prefix}/load={stream}-{number}", "overwrite")
 
+        def to_database(df: DataFrame) -> None:
+            # a batch that is repeated carries the same id as the first try
+            jdbc(df.withColumn("_load_id", F.lit(f"{stream}-{number}")), f"raw_{prefix}", "append")
+
         if jdbc is None:
             to_archive(landed_rows(batch))
         else:
-            sinks.dual_write(
-                landed_rows(batch), lambda df: jdbc(df, f"raw_{prefix}", "append"), to_archive
-            )
+            sinks.dual_write(landed_rows(batch), to_database, to_archive)
 
     writer = raw.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     io.drain(writer.trigger(availableNow=True).start())
@@ -116,10 +148,14 @@ def upsert_export(
     spark: SparkSession, raw_dir: str, prefix: str, table: str, keys: Sequence[str]
 ) -> None:
     """Keyed replacement of a table by the last file of an export; creates it on first use.
-    Without any file nothing is written."""
+    Without any file nothing is written. Columns as in ``load_export``: undeclared ones arrive
+    as text and are added to the table; records that cannot be read have no key, so they
+    replace nothing and stay as text in ``_corrupt_record``."""
     if files.latest_snapshot(spark, raw_dir, prefix) is None:
         return
-    raw = files.read_json_snapshots(spark, raw_dir, prefix, parking.RAW[prefix], "snapshot")
+    raw = files.read_json_snapshots(
+        spark, raw_dir, prefix, parking.RAW[prefix], "snapshot", unknown=True, rescue=layers.RESCUE
+    )
     sinks.upsert_table(stamp(stringify_nested(raw)), table, keys)
 
 

@@ -56,6 +56,33 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return back
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds; nothing happens if it is not there."""
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
+def move(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file or folder into ``folder``, over one of the same name."""
+    fs, place = _file_system(spark, path)
+    _, into = _file_system(spark, folder)
+    fs.mkdirs(into)
+    target = spark._jvm.org.apache.hadoop.fs.Path(into, place.getName())
+    fs.delete(target, True)
+    if not fs.rename(place, target):
+        raise OSError(f"{path} was not moved to {folder}")
+
+
 def released(*frames: DataFrame) -> None:
     """Delete the folders of frames that ``written`` returned and nothing reads any more.
 
@@ -64,9 +91,7 @@ def released(*frames: DataFrame) -> None:
     for df in frames:
         path = _FOLDERS.pop(df, None)
         if path is not None:
-            spark = df.sparkSession
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            delete(df.sparkSession, path)
 
 
 @contextmanager

@@ -23,19 +23,23 @@ def snapshot_glob(prefix: str) -> str:
     return f"{prefix}_[0-9]*.json"
 
 
-def latest_snapshot(spark: SparkSession, directory: str, prefix: str) -> str | None:
-    """Path of the last export by name. Lists the folder; no file content is read.
+def exports(spark: SparkSession, directory: str, prefix: str) -> DataFrame:
+    """(path) of every export. Lists the folder; no file content is read.
 
     An export is a file, or a folder of part files as Spark writes it.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
     export = F.regexp_extract("path", f"^(.*/{re.escape(prefix)}_[0-9][^/]*[.]json)(/[^/]+)?$", 1)
-    names = listing.select(export.alias("path")).filter("path != ''")
-    return names.agg(F.max("path").alias("path")).first()["path"]
+    return listing.select(export.alias("path")).filter("path != ''").distinct()
+
+
+def latest_snapshot(spark: SparkSession, directory: str, prefix: str) -> str | None:
+    """Path of the last export by name; None if there is none."""
+    return exports(spark, directory, prefix).agg(F.max("path").alias("path")).first()["path"]
 
 
 def with_unknown(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = True
 ) -> T.StructType:
     """``schema`` and, as text, the columns of the JSON files it does not declare.
 
@@ -56,11 +60,13 @@ def read_json_snapshots(
     multi_line: bool = True,
     unknown: bool = False,
     rescue: str | None = None,
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """JSON files of one export.
 
     ``mode="history"`` reads every file of the prefix (event exports, to be appended);
-    ``"snapshot"`` reads the last one only (reference exports, to replace the table).
+    ``"snapshot"`` reads the last one only (reference exports, to replace the table);
+    ``paths`` names the exports to read instead.
     ``multi_line`` files hold one array each and are read by one task each; prefer JSON
     lines (``multi_line=False``), which are split, for large exports. ``unknown`` keeps columns
     that ``schema`` lacks, as text. ``rescue`` names a column for the text of records that
@@ -68,10 +74,12 @@ def read_json_snapshots(
     """
     if mode not in ("history", "snapshot"):
         raise ValueError("mode must be 'history' or 'snapshot'")
-    last = latest_snapshot(spark, directory, prefix)
-    if last is None:
-        return spark.createDataFrame([], rescued(schema, rescue))
-    path = last if mode == "snapshot" else f"{directory}/{snapshot_glob(prefix)}"
+    path = paths
+    if path is None:
+        last = latest_snapshot(spark, directory, prefix)
+        if last is None:
+            return spark.createDataFrame([], rescued(schema, rescue))
+        path = last if mode == "snapshot" else f"{directory}/{snapshot_glob(prefix)}"
     if unknown:
         schema = with_unknown(spark, path, schema, multi_line)
     reader = spark.read.schema(rescued(schema, rescue)).options(**JSON_TIMES)

@@ -7,11 +7,13 @@ Every query has its own checkpoint, appends, and by default drains what is there
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.operators.cdc import envelope_schema
 from eventmart.operators.schema import align
+from eventmart.sources import sinks
 from eventmart.sources.files import JSON_TIMES, rescued
 
 
@@ -85,19 +87,46 @@ def append_to_table(
     it lacks are added to it first.
 
     A parquet table takes one streaming query, whose batch numbers its log remembers; a
-    second query under another checkpoint would have its first batches skipped.
+    second query under another checkpoint would have its first batches skipped. Use
+    ``append_batches`` for tables of several queries.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        have = spark.table(table).schema
-        new = [f for f in df.schema.fields if f.name not in have.fieldNames()]
-        if new:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        sinks.add_columns(df, table)
         df = align(df, spark.table(table).schema)
     return _writer(df, checkpoint, available_now, fmt, name).toTable(table)
 
 
+def append_batches(
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    available_now: bool = True,
+    fmt: str = "parquet",
+    batch_column: str = "_batch",
+) -> StreamingQuery:
+    """Start appending a stream to a table that other streams append to as well.
+
+    Each micro-batch is a partition of its own, named by the query and its number, so that a
+    batch that is repeated replaces itself and queries with other checkpoints, or the same
+    one begun anew, never meet. Columns that the table lacks are added to it.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        empty = spark.createDataFrame([], df.schema).withColumn(batch_column, F.lit(""))
+        empty.write.format(fmt).partitionBy(batch_column).mode("ignore").saveAsTable(table)
+
+    def land(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        # the id of the query lives in its checkpoint
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = batch.withColumn(batch_column, F.lit(f"{query}-{number}"))
+        sinks.replace_partitions(rows, table)
+
+    writer = df.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def append_to_path(
     df: DataFrame,
     path: str,

@@ -6,6 +6,10 @@ and key bucket: it is sorted and emptied when the watermark passes the slice's e
 never outgrows a slice, and a busy key moves on to another task with every slice. A closed
 slice emits its rows that pair inside it, plus the first and last row of each key;
 ``sessions`` joins slices end to end from those, two rows per key and slice.
+
+Where a key's rows of one batch fit a task, ``settled_sessions`` is simpler and sooner: one
+row of state and the rows younger than the watermark for each key, and every session comes
+out as soon as the watermark has passed its end.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import types as T
 from eventmart.functions.keys import surrogate_key
 from eventmart.functions.time import epoch_micros, minutes_between
 from eventmart.operators.sessions import with_next
+from eventmart.streaming.in_order import SessionSteps
 from eventmart.streaming.slice_rows import OUT_NAMES, OUT_TYPES, SliceRows
 
 # Needed by the stateful operator; pass to ``runtime.settings`` around starting the query.
@@ -104,3 +109,49 @@ def sessions(
             minutes_between(arrival, departure).alias("duration_minutes"),
         )
     )
+
+
+def settled_sessions(
+    df: DataFrame,
+    key: str,
+    state: str,
+    ts: str,
+    start: str,
+    end: str,
+    tie_break: Sequence[str] = (),
+    delay: str = "10 minutes",
+    names: tuple[str, str] = ("arrival_time", "departure_time"),
+    ts_type: str = "timestamp_ntz",
+) -> DataFrame:
+    """Stream of the sessions whose end the watermark has passed; rows as ``state_sessions``.
+
+    Rows of a key are put in order of (``ts``, ``tie_break``) while they are younger than the
+    watermark; only the last one behind it is kept. Rows without a time are left out, rows
+    later than ``delay`` are dropped. ``tie_break`` columns must be whole numbers.
+    """
+    order = {"__o0": epoch_micros(ts)}
+    order |= {f"__o{i}": F.col(c).cast("long") for i, c in enumerate(tie_break, 1)}
+    rows = df.withWatermark(ts, delay).filter(F.col(ts).isNotNull()).select(
+        F.col(key), F.col(ts), *(c.alias(n) for n, c in order.items()), F.col(state).alias("__state")
+    )
+    held = T.StructType([T.StructField(n, T.LongType()) for n in order])
+    held = held.add("__state", T.StringType())
+    out = [key, "__from_us", "__to_us"]
+    key_type = df.schema[key].dataType.simpleString()
+    found = rows.groupBy(key).transformWithState(
+        statefulProcessor=SessionSteps(held, out, start, end),
+        outputStructType=f"`{key}` {key_type}, __from_us bigint, __to_us bigint",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    arrival, departure = names
+    spans = found.select(
+        key,
+        F.timestamp_micros("__from_us").cast(ts_type).alias(arrival),
+        F.timestamp_micros("__to_us").cast(ts_type).alias(departure),
+    )
+    return spans.select(
+        surrogate_key(key, arrival).alias("session_id"),
+        "*",
+        minutes_between(arrival, departure).alias("duration_minutes"),
+    )

@@ -179,3 +179,52 @@ def test_replace_by_key_matches_plain_python(spark, target, batch):
 def test_append_fills_missing_columns(table, same):
     out = merge.append(table("a int, b int", (1, 2)), table("b int, c int", (3, 4)))
     same(out, (1, 2, None), (None, 3, 4))
+
+
+@QUIET
+@given(
+    versions=versions,
+    facts=st.lists(
+        st.tuples(st.sampled_from([1, 1, 2, 3, None]), st.one_of(st.none(), hours)), max_size=30
+    ),
+    closed=st.sampled_from(["left", "both"]),
+    how=st.sampled_from(["inner", "left"]),
+    seconds=st.sampled_from([3_600, 36_000, 864_000]),
+)
+def test_as_of_by_carry_matches_plain_python(spark, versions, facts, closed, how, seconds):
+    """Gaps, overlaps, empty and inverted intervals, versions with one start, NULL keys."""
+    rows = [(k, at, i) for i, (k, at) in enumerate(facts)]
+    out = history.join_as_of(
+        spark.createDataFrame(rows, FACT),
+        spark.createDataFrame([*versions, (None, "n", DAYS[0], None)], HIST),
+        ["id"], "at", closed=closed, how=how, slice_seconds=seconds,
+    )
+    want = []
+    for k, at, n in rows:
+        found = [
+            (n, v, a, b)
+            for key, v, a, b in versions
+            if key == k and at is not None and a <= at
+            and (b is None or at < b or (closed == "both" and at == b))
+        ]
+        want += found or ([(n, None, None, None)] if how == "left" else [])
+    assert out.columns == ["id", "at", "n", "v", "valid_from", "valid_to"]
+    got = [(r.n, r.v, r.valid_from, r.valid_to) for r in out.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_as_of_reads_each_side_at_most_twice(spark, tmp_path):
+    facts = [(k, DAYS[0] + timedelta(hours=h), h) for k in range(3) for h in range(50)]
+    hist = [(k, str(h), DAYS[0] + timedelta(hours=h), DAYS[0] + timedelta(hours=h + 5))
+            for k in range(3) for h in range(0, 50, 5)]
+    spark.createDataFrame(facts, FACT).write.parquet(f"{tmp_path}/facts")
+    spark.createDataFrame(hist, HIST).write.parquet(f"{tmp_path}/hist")
+    out = history.join_as_of(
+        spark.read.parquet(f"{tmp_path}/facts"), spark.read.parquet(f"{tmp_path}/hist"), ["id"], "at"
+    )
+    assert out.count() == 150
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    for side in ("facts", "hist"):
+        scans = [line for line in plan.splitlines() if "FileScan" in line and f"/{side}" in line]
+        assert 1 <= len(scans) <= 2

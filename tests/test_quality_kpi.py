@@ -194,3 +194,77 @@ def test_dimension_with_key_and_load_time(table):
     df = table("a int, b int", (1, 2))
     out = marts.dimension(df, {"x": "a"}, "k", ["a", "b"], F.lit(T0))
     assert out.columns == ["k", "x", "load_timestamp"]
+
+
+def _moves(spark, n, step):
+    rng = __import__("random").Random(step)
+    rows = []
+    for i in range(n):
+        start = T0 + timedelta(seconds=rng.randrange(step * n))
+        end = None if i % 7 == 0 else start + timedelta(seconds=rng.randrange(step * 9))
+        rows.append((f"s{i}", i % 3, start, end, 1.0))
+    return spark.createDataFrame(rows, SESSIONS), rows
+
+
+@pytest.mark.parametrize("grid, step", [("second", 40_000), ("hour", 9_000)])
+def test_occupancy_without_keys_is_no_single_task(spark, grid, step):
+    sessions, rows = _moves(spark, 60, step)
+    out = kpi.occupancy_over_time(sessions, "arrival_time", "departure_time", grid)
+    got = {r.period: (r.arrivals, r.occupied) for r in out.collect()}
+
+    def cut(t):
+        return t.replace(microsecond=0, **({"second": 0, "minute": 0} if grid == "hour" else {}))
+
+    moves = [(cut(r[2]), 1) for r in rows] + [(cut(r[3]), -1) for r in rows if r[3]]
+    want = {
+        p: (sum(m > 0 for q, m in moves if q == p), sum(m for q, m in moves if q <= p))
+        for p, _ in moves
+    }
+    assert got == want
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_variance_without_keys_is_no_single_task(spark):
+    days = [T0 + timedelta(days=d, hours=h) for d in (0, 1, 9, 400) for h in (0, 5)]
+    rows = [(d, float(i * i)) for i, d in enumerate(days)]
+    out = kpi.variance(spark.createDataFrame(rows, "p timestamp_ntz, total double"), "p", "total")
+    got = sorted(tuple(r) for r in out.collect())
+    want = [(d, v, rows[i - 1][1] if i else None, v - rows[i - 1][1] if i else None)
+            for i, (d, v) in enumerate(rows)]
+    assert got == want
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    numbers = [(1 << 43, 2.0), (5, 1.0), (-3, 7.0)]
+    out = kpi.variance(spark.createDataFrame(numbers, "p long, total double"), "p", "total")
+    assert {r.p: r.previous for r in out.collect()} == {-3: None, 5: 7.0, 1 << 43: 1.0}
+
+
+def test_segments_of_a_stay_add_up_and_follow_the_rules(table, spark):
+    stay = ("s", 1, datetime(2024, 1, 5, 21, 30), datetime(2024, 1, 8, 9, 15), 3585.0)
+    sessions = table(SESSIONS, stay, ("z", 1, T0, T0, 0.0), ("o", 1, T0, None, None), ("n", 5, T0, at(90), 90.0))
+    rules = table(
+        RULES,
+        (1, 2, 60, "07:00", "18:00", None, "day"),
+        (1, 1, 30, "22:00", "06:00", "6", "saturday night"),
+        (1, 3, 30, "05:00", "08:00", "0", "sunday morning"),
+    )
+    out = kpi.rules_along_stay(sessions, rules, "bay_id", "arrival_time", "departure_time")
+    rows = out.collect()
+    lengths = {}
+    for r in rows:
+        lengths[r.session_id] = lengths.get(r.session_id, 0) + r.micros
+    assert lengths == {"s": int(3585 * 6e7), "n": int(90 * 6e7)}
+
+    def held(t):
+        m, d = t.hour * 60 + t.minute, (t.weekday() + 1) % 7
+        if (d == 6 and m >= 22 * 60) or (d == 0 and m < 6 * 60):
+            return "saturday night"
+        if 7 * 60 <= m < 18 * 60:
+            return "day"
+        return "sunday morning" if d == 0 and 5 * 60 <= m < 8 * 60 else None
+
+    by_type, t = {}, stay[2]
+    while t < stay[3]:
+        by_type[held(t)] = by_type.get(held(t), 0) + 1
+        t += timedelta(minutes=1)
+    got = kpi.minutes_along_stay(out.filter("session_id = 's'"))
+    assert {r.rule_type: r.total_minutes for r in got.collect()} == by_type

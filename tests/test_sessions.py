@@ -153,3 +153,44 @@ def test_the_plan_is_the_same_for_small_inputs(spark):
     df = spark.range(10).selectExpr("id AS bay", "timestamp_micros(id) AS at")
     plan = with_next(df, ["bay"], "at", ["at"])._jdf.queryExecution().optimizedPlan().toString()
     assert "__slice" in plan
+
+
+def file_scans(df):
+    """File scans of the plan that ran, and its text."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum("FileScan" in line for line in plan.splitlines()), plan
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(rows=events, seconds=st.sampled_from([1, 60, 420, 86_400]))
+def test_time_slices_match_plain_python(spark, rows, seconds):
+    """One hot key, several rows at one instant, NULL keys, times and states."""
+    numbered = [(*r, i) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(numbered, DDL)
+    cut = with_next(df, ["bay"], "at", ["status", "at", "id"], ["id"], slice_seconds=seconds)
+    whole = with_next(df, ["bay"], "at", ["status", "at", "id"], ["id"], rows_per_slice=None)
+    assert cut.columns == whole.columns
+    assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+    out = state_sessions(df, "bay", "status", "at", "P", "U", ["id"])
+    got = sorted(((r.bay, r.arrival_time, r.departure_time) for r in out.collect()), key=str)
+    assert got == naive_sessions(numbered)
+
+
+def test_next_rows_come_from_one_scan(spark, tmp_path):
+    rows = [(b, "PU"[m % 2], at(m * 31), m) for m in range(200) for b in range(3)]
+    spark.createDataFrame(rows, DDL).write.parquet(f"{tmp_path}/rows")
+    read = spark.read.parquet(f"{tmp_path}/rows")
+    with runtime.settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        scans, plan = file_scans(with_next(read, ["bay"], "at", ["at", "status"], ["id"]))
+        assert scans == 1 and "ReusedExchange" in plan
+        scans, plan = file_scans(state_sessions(read, "bay", "status", "at", "P", "U", ["id"]))
+        assert scans == 1
+
+
+def test_copies_collapse_in_time_slices(spark):
+    rows = [(1, "P", at(0), 0)] * 30 + [(1, "U", at(5), 1)] * 2 + [(1, "P", at(70), 2)]
+    out = state_sessions(spark.createDataFrame(rows, DDL), "bay", "status", "at", "P", "U", ["id"])
+    assert [(r.arrival_time, r.departure_time) for r in out.collect()] == [(at(0), at(5))]

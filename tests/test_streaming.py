@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventmart import runtime
 from eventmart.operators.sessions import state_sessions
+from eventmart.sources import sinks
 from eventmart.streaming import io, sessions, windows
 
 T0 = datetime(2024, 1, 6, 10, 0)
@@ -123,3 +124,59 @@ def test_parquet_file_as_stream(spark, tmp_path):
     df.coalesce(1).write.parquet(f"{tmp_path}/x.parquet")
     out = io.read_parquet_stream(spark, f"{tmp_path}/x.parquet", df.schema, max_files=1)
     assert drained(spark, out, tmp_path).count() == 1
+
+
+def _rows_of_bays():
+    """Rows out of order within half an hour, and the same in order of their numbers."""
+    rows = [
+        (b, "PUX"[(b * 7 + m * m) % 3], m * 7 + b, b * 100 + m) for m in range(40) for b in range(4)
+    ]
+    return rows, sorted(rows, key=lambda r: r[2] + (13 if r[3] % 2 else 0))
+
+
+def test_settled_sessions_lack_only_what_the_watermark_holds(spark, landing, tmp_path):
+    rows, jumbled = _rows_of_bays()
+    path = landing(*[jumbled[i : i + 40] for i in range(0, len(jumbled), 40)])
+    out = sessions.settled_sessions(
+        stream(spark, path, max_files=1), "bay", "status", "at", "P", "U", ["id"],
+        delay="30 minutes", ts_type="timestamp",
+    )
+    out = drained(spark, out, tmp_path)
+    df = spark.createDataFrame([(b, s, at(m), n) for b, s, m, n in rows], DDL)
+    last = at(max(m for _, _, m, _ in rows) - 30)
+    want = state_sessions(df, "bay", "status", "at", "P", "U", ["id"])
+    want = want.filter(F.col("departure_time") < F.lit(last).cast("timestamp"))
+    assert want.count() > 20
+    assert out.exceptAll(want).isEmpty() and want.exceptAll(out).isEmpty()
+
+
+def test_crossings_report_a_change_of_side_once(spark, landing, tmp_path, same):
+    # minutes stand for the value: 60 and more is above
+    values = {1: [10, 70, 90, 20, 30, 80], 2: [65, 5, 6]}
+    rows = [(b, "x", 100 * i, v) for b, vs in values.items() for i, v in enumerate(vs)]
+    path = landing(rows[::2], rows[1::2], [(9, "x", 5000, 0)])
+    out = windows.crossings(
+        stream(spark, path, max_files=2).withColumnRenamed("id", "value"),
+        ["bay"], "at", "value", 60, delay="1 day",
+    )
+    got = drained(spark, out, tmp_path).filter("bay != 9")
+    same(got, (1, at(100), 70.0, True), (1, at(300), 20.0, False), (1, at(500), 80.0, True),
+         (2, at(0), 65.0, True), (2, at(100), 5.0, False))
+
+
+def test_two_checkpoints_append_to_one_table(spark, landing, tmp_path, same):
+    spark.sql("CREATE DATABASE IF NOT EXISTS st")
+    path = landing([(1, "P", 0, 0)], [(2, "U", 0, 1)])
+    for n in "ab":
+        rows = stream(spark, path, max_files=1).select("bay", "status")
+        rows = rows.withColumn("source", F.lit(n)) if n == "b" else rows
+        for _ in range(2):  # a rerun finds nothing new
+            io.drain(io.append_batches(rows, "st.shared", f"{tmp_path}/{n}"))
+    same(spark.table("st.shared").select("bay", "status", "source"),
+         (1, "P", None), (2, "U", None), (1, "P", "b"), (2, "U", "b"))
+    # a batch that is done again replaces itself
+    again = spark.table("st.shared").filter("source = 'b' AND bay = 2")
+    batch = again.first()["_batch"]
+    sinks.replace_partitions(spark.createDataFrame([(7, "X", "b", batch)], again.schema), "st.shared")
+    assert spark.table("st.shared").count() == 4
+    assert spark.table("st.shared").filter("bay = 2").count() == 1
