@@ -1,11 +1,18 @@
-"""Passages that repeat across texts, by windows of words under shared minimisers.
+"""Passages that repeat across texts, by a sparse suffix array.
 
 A passage repeats if all its windows of ``MIN_WORDS`` words do. Each window belongs to its
 minimiser: the place in it whose next ``SEED`` words hash lowest among its first ``GAP``
-places. Equal windows have equal minimisers at equal distances, so windows whose minimiser's
-seed occurs once are dropped after one count with partial aggregates, and the others meet
-under their seed. There the hashes of whole windows are compared, each with all others: a
-window is marked if it occurs twice, and a text's marked windows merge to spans.
+places. Only the suffixes that begin at these places are kept. Equal windows have equal
+minimisers at equal distances, so places whose seed occurs once are dropped after one count
+with partial aggregates, and the suffixes of the others meet under their seed, with the words
+around it that their windows reach.
+
+There they are sorted by the words to the right, and neighbours compared: the words that two
+neighbours have in common extend the match to the right, and the least of several such
+numbers holds for suffixes further apart. A window that begins ``l`` words before the seed
+lies in a run of neighbours with at least ``MIN_WORDS - l`` words in common; there the match
+is extended to the left, and windows with the same ``l`` words are repeats. A text's marked
+windows merge to spans.
 
 A seed that very many texts share is dealt to several tasks by salts. Each of them marks
 what occurs twice in it and passes on every distinct window once; in a second round equal
@@ -24,7 +31,12 @@ from eventmart import runtime
 from eventmart.llm.textops import Texts, chain, hash_ranges, mix, per_chunk
 
 MIN_WORDS = 50
-SEED, GAP = 12, 24
+SEED = 12
+#: Most words of a window on either side of its seed, and the places among which that lies.
+SIDE = MIN_WORDS - SEED
+GAP = SIDE + 1
+#: Bytes of a word's hash that a suffix carries for each word.
+CODE = 5
 #: Places of one seed that one task compares.
 DEALT = 1_024
 
@@ -48,19 +60,6 @@ def minimisers(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.nda
     return whole, chosen[whole]
 
 
-def _whole_windows(hashes: np.ndarray) -> np.ndarray:
-    """A hash of each run of ``MIN_WORDS`` words, put together from runs of doubled length."""
-    n, done, out, run, size = len(hashes) - MIN_WORDS + 1, 0, np.uint64(0), hashes, 1
-    while done < MIN_WORDS:
-        if MIN_WORDS & size:
-            out = mix(out * np.uint64(0xD6E8FEB86659FD93) + run[done : done + n])
-            done += size
-        if done < MIN_WORDS:
-            run = mix(run[:-size] * np.uint64(0xA0761D6478BD642F) + run[size:] + np.uint64(size))
-            size *= 2
-    return out
-
-
 def _words(batch: pa.RecordBatch):
     texts = Texts(batch.column("text"))
     starts, ends, text = texts.words()
@@ -93,9 +92,9 @@ def _places(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Each repeated place with its windows: the first word of the first one, and a hash of
-    each of them. The windows of a place start at successive words."""
+def _suffixes(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Each repeated place (at) with its windows, which start from ``far`` to ``near`` words
+    before it, and the codes of the words that these reach, but for the seed's."""
     _, _, _, text, hashes = _words(batch)
     first = np.searchsorted(text, np.arange(batch.num_rows), "left")
     held = batch.column("places")
@@ -107,22 +106,32 @@ def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
     of = np.full(len(hashes) + 1, -1, np.int64)
     of[first[owner] + at] = np.arange(len(at))
     begin, chosen = minimisers(hashes, text)
-    begin, row = begin[of[chosen] >= 0], of[chosen]
-    row = row[row >= 0]
-    whole = _whole_windows(hashes)[begin] if len(begin) else np.empty(0, np.uint64)
+    row = of[chosen]
+    begin, row = begin[row >= 0], row[row >= 0]
+    # the windows of a place start at successive words
     new = np.flatnonzero(np.diff(row, prepend=-1))
-    row, begin = row[new], begin[new]
-    ends = np.append(new, len(whole)).astype(np.int32) * 8
+    last = np.append(new[1:], len(row)) - 1
+    row, word = row[new], first[owner[row[new]]] + at[row[new]]
+    far, near = word - begin[new], word - begin[last[: len(new)]]
+    left, right = far, SIDE - near
+    size = left + right
+    ends = np.cumsum(size)
+    nth = np.arange(int(size.sum())) - np.repeat(ends - size, size)
+    place = np.repeat(word - far, size) + nth + np.where(nth >= np.repeat(left, size), SEED, 0)
+    codes = hashes[place].astype(">u8").view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
+    offsets = np.append(0, ends * CODE).astype(np.int32)
     docs = batch.column("doc").to_numpy(zero_copy_only=False)
-    buffers = [None, pa.py_buffer(ends), pa.py_buffer(whole)]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(codes)]
     return pa.RecordBatch.from_pydict(
         {
             "seed": seed[row],
             "salt": salt[row],
             "dealt": dealt[row],
             "doc": docs[owner[row]],
-            "lo": (begin - first[owner[row]]).astype(np.int32),
-            "windows": pa.Array.from_buffers(pa.binary(), len(row), buffers),
+            "at": at[row].astype(np.int32),
+            "far": far.astype(np.int8),
+            "near": near.astype(np.int8),
+            "codes": pa.Array.from_buffers(pa.binary(), len(row), buffers),
         }
     )
 
@@ -150,41 +159,100 @@ def _numbered(batch: pa.RecordBatch) -> np.ndarray:
     return np.cumsum(np.any([np.diff(k, prepend=k[0]) != 0 for k in keys], axis=0))
 
 
+def _sides(codes: pa.Array, far: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word codes to the left of each seed, nearest first, and to the right; 0 beyond."""
+    flat = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(-1, CODE)
+    wide = np.zeros((len(flat), 8), np.uint8)
+    wide[:, 8 - CODE :] = flat
+    words = wide.view(">u8")[:, 0].astype(np.uint64)
+    size = far + SIDE - near
+    row = np.repeat(np.arange(len(far)), size)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    before = nth < far[row]
+    left, right = np.zeros((2, len(far), SIDE), np.uint64)
+    left[row[before], far[row[before]] - 1 - nth[before]] = words[before]
+    right[row[~before], nth[~before] - far[row[~before]]] = words[~before]
+    return left, right
+
+
+def _suffix_order(group: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Rows sorted by group and then by the words of the suffix."""
+    key = np.concatenate([group[:, None].astype(np.uint64), right], axis=1).astype(">u8")
+    parts = key.view(np.uint8).reshape(len(group), -1, 8)[:, :, 8 - CODE :]
+    whole = np.ascontiguousarray(parts).reshape(len(group), -1)
+    return np.argsort(whole.view(f"S{whole.shape[1]}")[:, 0], kind="stable")
+
+
+def _folded(words: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, 2, ... columns of each row."""
+    out = np.zeros((len(words), words.shape[1] + 1), np.uint64)
+    for k in range(words.shape[1]):
+        out[:, k + 1] = mix(out[:, k] * np.uint64(0xD6E8FEB86659FD93) + words[:, k] + np.uint64(1))
+    return out
+
+
 def _repeats(batches):
     """Spans (doc, lo, hi) of words, of the windows that occur twice in their group; and of
     dealt seeds each distinct window of the group, with its hash and whether it is alone."""
     for batch, group in _groups(batches):
-        doc, lo, dealt = (
-            batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "lo", "dealt")
+        seed, doc, at, far, near, dealt = (
+            batch.column(c).to_numpy(zero_copy_only=False)
+            for c in ("seed", "doc", "at", "far", "near", "dealt")
+        )
+        far, near = far.astype(np.int64), near.astype(np.int64)
+        left, right = _sides(batch.column("codes"), far, near)
+        order = _suffix_order(group, right)
+        group, seed, doc, at, far, near, dealt = (
+            c[order] for c in (group, seed, doc, at, far, near, dealt)
         )
-        windows = batch.column("windows").to_pylist()
-        sizes = np.array([len(w) // 8 for w in windows], np.int64)
-        whole = np.frombuffer(b"".join(windows), np.uint64)
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        word = lo[row] + np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
-        order = np.lexsort((whole, group[row]))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(whole[order]) != 0) | (np.diff(group[row[order]]) != 0)
-        times = np.diff(np.append(np.flatnonzero(new), len(order)))
-        twice = np.empty(len(order), bool)
-        twice[order] = np.repeat(times > 1, times)
-        at = np.flatnonzero(twice)
-        fresh = (np.diff(at, prepend=-2) > 1) | (np.diff(row[at], prepend=-1) != 0)
-        a = at[fresh]
-        b = at[np.append(np.flatnonzero(fresh)[1:], len(at)) - 1] if len(at) else a
-        one = order[new]
-        one = one[dealt[row[one]]]
-        none = np.zeros(len(a), bool)
+        left, right = left[order], right[order]
+        # words that a suffix has in common with the one before it
+        same = right[1:] == right[:-1]
+        common = np.where(same.all(axis=1), SIDE, same.argmin(axis=1))
+        common = np.minimum(common, SIDE - np.maximum(near[1:], near[:-1]))
+        common[group[1:] != group[:-1]] = -1
+        before = _folded(left)
+        after = _folded(right) if dealt.any() else None
+        twice = np.zeros((len(order), SIDE + 1), bool)
+        ones = []
+        for reach in range(SIDE + 1):
+            rows = np.flatnonzero((near <= reach) & (reach <= far))
+            if not len(rows):
+                continue
+            run = np.append(0, np.cumsum(common < SIDE - reach))[rows]
+            match = mix(before[rows, reach] + run.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            rank = np.argsort(match, kind="stable")
+            new = np.ones(len(rank), bool)
+            new[1:] = match[rank][1:] != match[rank][:-1]
+            times = np.diff(np.append(np.flatnonzero(new), len(rank)))
+            twice[rows[rank], reach] = np.repeat(times > 1, times)
+            firsts = rows[rank[new]]
+            firsts = firsts[dealt[firsts]]
+            if len(firsts):
+                whole = mix(before[firsts, reach] ^ seed[firsts].view(np.uint64))
+                whole = mix(whole + after[firsts, SIDE - reach] + np.uint64(reach))
+                ones.append((firsts, np.full(len(firsts), reach), whole, ~twice[firsts, reach]))
+        # windows in order of their first words, with a gap behind each row
+        marks = np.zeros((len(order), SIDE + 2), bool)
+        marks[:, :-1] = twice[:, ::-1]
+        edge = np.flatnonzero(np.diff(marks.ravel(), prepend=False))
+        row, start = edge[::2] // (SIDE + 2), SIDE - edge[::2] % (SIDE + 2)
+        stop = SIDE - edge[1::2] % (SIDE + 2)
+        one, reach, window, alone = (
+            (np.concatenate(c) for c in zip(*ones, strict=True)) if ones
+            else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
+        )
+        none = np.zeros(len(row), bool)
         yield pa.RecordBatch.from_pydict(
             {
-                "doc": np.append(doc[row[a]], doc[row[one]]),
-                "lo": np.append(word[a], word[one]).astype(np.int32),
-                "hi": (np.append(word[b], word[one]) + MIN_WORDS).astype(np.int32),
+                "doc": np.append(doc[row], doc[one]),
+                "lo": np.append(at[row] - start, at[one] - reach).astype(np.int32),
+                "hi": (np.append(at[row] - stop - 1, at[one] - reach) + MIN_WORDS).astype(np.int32),
                 "window": pa.array(
-                    np.append(np.zeros(len(a), np.int64), whole[one].view(np.int64)),
+                    np.append(np.zeros(len(row), np.int64), window.view(np.int64)),
                     mask=np.append(~none, np.zeros(len(one), bool)),
                 ),
-                "alone": np.append(none, ~twice[one]),
+                "alone": np.append(none, alone),
             }
         )
 
@@ -265,14 +333,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         .select("doc", "text", "places")
         .dropDuplicates(["doc"])
         .mapInArrow(
-            per_chunk(_windows, "text"),
-            "seed bigint, salt int, dealt boolean, doc bigint, lo int, windows binary",
+            per_chunk(_suffixes, "text"),
+            "seed bigint, salt int, dealt boolean, doc bigint, at int, far tinyint, near tinyint,"
+            " codes binary",
         )
         .repartition("seed", "salt")
         .sortWithinPartitions("seed", "salt")
         .mapInArrow(_repeats, "doc bigint, lo int, hi int, window bigint, alone boolean")
     )
     marked = runtime.written(marked, "suffix-windows")
+    runtime.released(held, seeds)
     span = F.struct("doc", "lo", "hi")
     across = (
         marked.where("window is not null")
@@ -290,6 +360,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         .agg(F.collect_set(F.struct("lo", "hi")).alias("found"))
     )
     spans = runtime.written(spans, "suffix-spans")
+    runtime.released(marked)
     return (
         keyed.join(spans, "doc", "left")
         .select("doc_id", "text", "found")
