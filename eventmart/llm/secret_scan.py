@@ -2,11 +2,14 @@
 
 Base spans come from three patterns. The lexer reads every line that holds an assignment
 mark, in source, configuration, shell, JSON and YAML notations, and turns it into pairs of a
-name and a literal. Literals are strings in quotes, joined with ``+`` or by standing next to
-each other, bare words, and names bound before: constants are propagated down the text. A
-pair whose name has sensitive parts is scored by them and by the look of its value (length,
-classes of characters, entropy); a reference, a placeholder or a plain word is not a secret.
-Spans found so are added as kind ``pair`` unless a base span already covers them.
+name and a literal; so do calls with a name and a literal (``define('NAME', 'value')``),
+options (``--name value``), XML elements and the indented blocks of YAML. Literals are strings
+in quotes, joined with ``+`` or by standing next to each other, bare words, and names: constants
+are propagated through the text, from the last binding above or else the first below; a name
+that is bound nowhere is an unknown part of its value. A pair whose name has sensitive parts is
+scored by them and by the look of its value (length, classes of characters, entropy); a
+reference, a placeholder or a plain word is not a secret. The places of its literals, wherever
+they stand, are added as spans of kind ``pair`` unless a base span already covers them.
 
 Defined cases: a null text counts as empty; rows are independent of each other, so repeated
 rows give equal results; extra columns pass through, but for those named like added columns,
@@ -53,15 +56,25 @@ PLACEHOLDER = re.compile(
 )
 THRESHOLD = 4.0
 
-_NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]{0,127}"
+_NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]*"
 _STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
 _TOKEN = re.compile(
-    rf"(?P<string>{_STRING})|(?P<name>{_NAME})|(?P<mark>:=|=>|=|:)|(?P<plus>\+|\.\.)"
-    r"|(?P<comment>#|//|--\x20)|(?P<bare>[0-9][A-Za-z0-9+/_=-]*)|(?P<other>[^\s])"
+    rf"(?P<string>{_STRING})|(?P<option>(?<![\w-])--[A-Za-z][A-Za-z0-9_-]*)|(?P<name>{_NAME})"
+    r"|(?P<mark>:=|=>|=|:)|(?P<plus>\+|\.\.)|(?P<comment>#|//|--\x20)"
+    r"|(?P<bare>[0-9][A-Za-z0-9+/_=-]*)|(?P<other>[^\s])"
 )
+_FULL_NAME = re.compile(_NAME)
 _BARE = re.compile(r"[^\s\"'`,;()\[\]{}]+")
+#: Behind an unknown name: a plus sign and more of the value.
+_JOINED = re.compile(r"(?:(?<=\+)|\x20*\+)\x20*(?=[\"'`A-Za-z_$])")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_MARK = re.compile(r"[=:]")
+#: What a line must hold to be lexed.
+_MARK = re.compile(r"[=:]|--[A-Za-z]|[\"'`]\x20*,")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*)(?:\s[^<>\n]*)?>([^<>\n]+)</\1\s*>")
+_BLOCK = re.compile(
+    rf"^([\x20\t]*)(?:-\x20+)?[\"']?({_NAME})[\"']?\x20*:\x20*[|>][+-]?[0-9]?[+-]?[\x20\t\r]*$",
+    re.MULTILINE,
+)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -100,18 +113,26 @@ def value_score(value: str) -> float:
     return 0.5 * kinds + 0.5 * entropy + min(len(value), 40) / 40
 
 
-class Lexer:
-    """Name-literal pairs of a text, line by line, with the constants bound so far."""
+Places = list[tuple[int, int]]
 
-    def __init__(self):
-        self.constants: dict[str, str] = {}
 
-    def _value(self, line: str, at: int) -> tuple[str, int, int, bool] | None:
-        """Value, its place, and whether a literal was written; None if there is none."""
-        parts, first, last, literal = [], None, at, False
-        joinable = True
-        for m in _TOKEN.finditer(line, at):
-            kind = m.lastgroup
+class Lexer:
+    """Name-literal pairs of a text, line by line, with the constants bound so far.
+
+    ``below`` holds the first binding of each name in the whole text.
+    """
+
+    def __init__(self, text: str, below: dict[str, tuple[str, Places]] | None = None):
+        self.text = text
+        self.below = below or {}
+        self.constants: dict[str, tuple[str, Places]] = {}
+
+    def _value(self, at: int, stop: int) -> tuple[str, Places, int] | None:
+        """Value, the places of its literals, and its end; None if nothing of it is known."""
+        text, parts, places = self.text, [], []
+        last, joinable = at, True
+        while m := _TOKEN.search(text, at, stop):
+            kind, at = m.lastgroup, m.end()
             if kind == "plus":
                 joinable = True
                 continue
@@ -119,65 +140,114 @@ class Lexer:
                 break
             if kind == "string":
                 parts.append(m[0][1:-1])
-                literal = True
-                lo, hi = m.start() + 1, m.end() - 1
-            elif kind == "name" and m[0] in self.constants:
-                parts.append(self.constants[m[0]])
-                lo, hi = m.span()
-            elif kind in ("name", "bare") and not parts:
-                bare = _BARE.match(line, m.start())
-                if line[bare.end() : bare.end() + 1] == "(":
-                    return None  # a call
-                parts.append(bare[0])
-                return bare[0], bare.start(), bare.end(), True
+                places.append((m.start() + 1, m.end() - 1))
+            elif kind == "name" and (known := self.constants.get(m[0]) or self.below.get(m[0])):
+                parts.append(known[0])
+                places += known[1]
+            elif kind in ("name", "bare"):
+                if text[at : at + 1] in ('"', "'") and len(m[0]) < 3:
+                    continue  # the prefix of a string
+                bare = _BARE.match(text, m.start(), stop)
+                if text[bare.end() : bare.end() + 1] == "(":
+                    break  # a call
+                if more := _JOINED.match(text, bare.end(), stop):
+                    at = more.end()
+                    continue  # an unknown part
+                if not parts:
+                    return bare[0], [bare.span()], bare.end()
             else:
                 break
-            first = lo if first is None else first
-            last = hi
-            joinable = False
-        if first is None:
+            last, joinable = at, False
+        if not parts:
             return None
-        return "".join(parts), first, last, literal
+        return "".join(parts), places, last
 
-    def pairs(self, line: str):
-        """(name, value, start, end) for each assignment of the line, also behind comment signs:
+    def pairs(self, begin: int, stop: int):
+        """(name, value, places) for each assignment of a line, also behind comment signs:
         they stand in URLs and before code that was commented out."""
-        target, at = None, 0
-        while m := _TOKEN.search(line, at):
-            at = m.end()
-            if m.lastgroup == "name":
+        text, target, at = self.text, None, begin
+        opened = argument = False  # behind a bracket; behind a name in quotes there
+        while m := _TOKEN.search(text, at, stop):
+            at, kind = m.end(), m.lastgroup
+            assigned = kind == "mark" and target is not None
+            if kind == "name":
                 target = m[0]
-            elif m.lastgroup == "string":
+            elif kind == "option":
+                target = m[0][2:]
+                assigned = text[at : at + 1].isspace() and name_score(target) > 0
+            elif kind == "string":
                 inner = m[0][1:-1]
-                target = inner if re.fullmatch(_NAME, inner) else None
-            elif m.lastgroup == "mark" and target:
-                if line[at : at + 1] == "=":  # a comparison
-                    at, target = at + 1, None
-                    continue
-                if found := self._value(line, at):
-                    value, start, end, literal = found
-                    if literal:
-                        self.constants[target.rpartition(".")[2]] = value
-                    yield target, value, start, end
+                target = inner if _FULL_NAME.fullmatch(inner) else None
+            elif m[0] == "," and argument:
+                after = _TOKEN.search(text, at, stop)
+                assigned = after is not None and after.lastgroup == "string"
+            elif kind not in ("mark", "plus"):
+                target = None
+            argument = kind == "string" and opened and target is not None
+            opened = m[0] == "("
+            if kind == "mark" and text[at : at + 1] == "=":  # a comparison
+                at, target = at + 1, None
+            elif assigned:
+                if found := self._value(at, stop):
+                    value, places, end = found
+                    self.constants[target.rpartition(".")[2]] = value, places
+                    yield target, value, places
                     at = max(at, end + 1)
                 target = None
-            elif m.lastgroup != "plus":
+            elif kind == "mark":
                 target = None
 
 
-def pair_spans(text: str) -> list[tuple[str, int, int]]:
-    """(pair, start, end) of values whose name and look together reach the threshold."""
-    out, lexer, at = [], Lexer(), 0
+def is_secret(name: str, value: str) -> bool:
+    """Whether name and look together reach the threshold."""
+    weight = name_score(name)
+    return bool(weight) and (look := value_score(value)) >= 2 and weight + look >= THRESHOLD
+
+
+def _lines(text: str):
+    """Start and end of each line that may hold an assignment."""
+    at = 0
     while m := _MARK.search(text, at):
         begin = text.rfind("\n", 0, m.start()) + 1
         end = text.find("\n", m.end())
-        end = len(text) if end < 0 else end
-        for name, value, start, stop in lexer.pairs(text[begin:end]):
-            weight = name_score(name)
-            if weight and weight + (look := value_score(value)) >= THRESHOLD and look >= 2:
-                out.append(("pair", begin + start, begin + stop))
-        at = end
-    return out
+        at = len(text) if end < 0 else end
+        yield begin, at
+
+
+def _blocks(text: str):
+    """(name, value, places) for the lines of each indented block."""
+    for m in _BLOCK.finditer(text):
+        at = m.end() + 1
+        while at < len(text):
+            end = text.find("\n", at)
+            end = len(text) if end < 0 else end
+            line = text[at:end]
+            body = line.strip()
+            indent = len(line) - len(line.lstrip(" \t"))
+            if body and indent <= len(m[1]):
+                break
+            if body:
+                yield m[2], body, [(at + indent, at + indent + len(body))]
+            at = end + 1
+
+
+def pair_spans(text: str) -> list[tuple[str, int, int]]:
+    """(pair, start, end) of the literals of secrets, by start."""
+    lines, below = list(_lines(text)), {}
+    above = Lexer(text)
+    for line in lines:
+        for name, value, places in above.pairs(*line):
+            below.setdefault(name.rpartition(".")[2], (value, places))
+    lexer = Lexer(text, below)
+    found = [p for line in lines for p in lexer.pairs(*line)]
+    if "</" in text:
+        for m in _ELEMENT.finditer(text):
+            body = m[2].strip()
+            start = m.start(2) + len(m[2]) - len(m[2].lstrip())
+            found.append((m[1], body, [(start, start + len(body))]))
+    found += _blocks(text)
+    out = {place for name, value, places in found if is_secret(name, value) for place in places}
+    return [("pair", *place) for place in sorted(out)]
 
 
 def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
