@@ -41,13 +41,16 @@ class Crf:
     def decode(self, features: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The best label of each row, by Viterbi. Ties go to the lower label."""
         emit = self.emissions(features)
+        starts = offsets[:-1][np.diff(offsets) > 0]
+        emit[starts] += self.first
+        return self.best_path(emit, offsets)
+
+    def best_path(self, emit: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The labels of each sequence with the largest sum of ``emit`` and transitions."""
         back = np.zeros(emit.shape, np.int8)
         best = emit.copy()
         rows_at = [rows for _, rows in positions(offsets)]
-        for t, rows in enumerate(rows_at):
-            if t == 0:
-                best[rows] += self.first
-                continue
+        for rows in rows_at[1:]:
             ways = best[rows - 1][:, :, None] + self.trans[None]
             back[rows] = ways.argmax(axis=1)
             best[rows] += ways.max(axis=1)
@@ -60,6 +63,37 @@ class Crf:
             out[rows[:n]] = back[nexts, out[nexts]]
         return out
 
+    def decode_sparse(self, features: np.ndarray, offsets: np.ndarray, usual: int = 0) -> np.ndarray:
+        """``decode`` where nearly all rows have the label ``usual``.
+
+        A row whose own scores favour ``usual`` by more than any neighbours can take back has
+        that label on every best path; only the runs between such rows are decoded, with the
+        transitions from and to them. The labels are those of ``decode``.
+        """
+        emit = self.emissions(features)
+        starts = offsets[:-1][np.diff(offsets) > 0]
+        stops = offsets[1:][np.diff(offsets) > 0]
+        into = np.vstack([self.trans, self.first])  # from each label, or from the start
+        out_of = np.hstack([self.trans, np.zeros((len(self.first), 1))])  # or to the end
+        gain = (into - into[:, [usual]]).max(axis=0) + (out_of - out_of[[usual]]).max(axis=1)
+        lead = emit[:, [usual]] - emit - gain
+        lead[:, usual] = np.inf
+        open_ = ~(lead > 1e-9).all(axis=1)
+        rows = np.flatnonzero(open_)
+        out = np.full(len(emit), usual, np.int8)
+        if not len(rows):
+            return out
+        begins, ends = np.zeros((2, len(emit)), bool)
+        begins[starts], ends[stops - 1] = True, True
+        fresh = np.append(True, np.diff(rows) > 1) | begins[rows]
+        first = rows[fresh]
+        last = rows[np.append(np.flatnonzero(fresh)[1:], len(rows)) - 1]
+        emit[first] += np.where(begins[first][:, None], self.first, self.trans[usual])
+        emit[last] += np.where(ends[last][:, None], 0.0, self.trans[:, usual])
+        cuts = np.append(np.flatnonzero(fresh), len(rows))
+        out[rows] = self.best_path(emit[rows], cuts)
+        return out
+
 
 def fit(
     features: np.ndarray,

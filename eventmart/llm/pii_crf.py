@@ -2,13 +2,11 @@
 
 Base spans come from four patterns. A linear-chain conditional random field adds spans that
 they miss, such as numbers written in groups of words, addresses with the signs spelled out,
-or numbers without a country code. It reads windows of words around every word that holds a
-digit, an at sign or one spelled out, is a spelled-out dot, or hints at personal data. No
-span that the model may report lies apart from all such words, and a window is widened until
-no span touches its edge.
+or numbers without a country code.
 
 The model is trained on the small labelled table below, whose rows are sentences with marked
-spans, and decoded by Viterbi in numpy batches over all windows of a batch of texts.
+spans, and decoded by Viterbi in numpy batches over the whole texts; words that belong to no
+span whatever stands around them part a text into short runs.
 
 Defined cases: a null text counts as empty; rows are independent of each other, so repeated
 rows give equal results; extra columns pass through, but for those named like added columns,
@@ -35,8 +33,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 
 LABELS = ("O", "phone", "email", "ip", "card", "ident")
-#: Words on each side of a word that opens a window that the model reads too, at first.
-MARGIN = 3
 
 # The labelled table: spans in brackets, with their label.
 EXAMPLES = """
@@ -61,15 +57,59 @@ and then [email k_lee[AT]lab[DOT]org] , of course
 contact [email sales at shop dot co dot uk] today
 mail [email info@localhost] now
 send it to [email kim AT post DOT de] please
+reach me at [phone 917 555 0192] tonight
+you can ring us on [phone 020 7946 0018] before six
+Rufen Sie [phone 030 5550 1122] an
+bitte [phone 0171 555 0123] anrufen oder schreiben
+unter [phone 0221-5550-987] sind wir da
+appelez le [phone 06 12 34 56 78] ce soir
+au [phone 01 42 68 53 00] , merci
+mi número es [phone 600 555 012]
+su teléfono , [phone 93 555 01 77] , no responde
+she left [phone 646-555-0170] on the desk
+text [phone 312.555.0111] if late
+it is [phone (212) 555-0199] , ask for Ann
+fax [phone 0044 20 7946 0999] or mail
+his cell was [phone 5035550144] then
+ask for room service at [phone 808 555 0110] now
+schreib an [email eva at web punkt de] bitte
+send the file to [email lee AT work DOT com] today
+write [email ana at correo punto es] or call
+adresse [email luc at poste point fr] merci
+to [email pat (at) site (dot) org] only
+mine is [email joe_b at mail dot com] , thanks
+forward it to [email hr at firm dot co dot uk] please
+[email sam AT home DOT net] is mine
+or ask [email kai[at]dorf[dot]de] about it
+her address [email mia(at)post(dot)at] works
+from [email root@intranet] at night
 server [ip 10.0.0.17] answered
 host [ip 192.168.4.20] is down
 from [ip 172.16.254.1] to [ip 10.1.2.3] again
 card [card 4111 1111 1111 1111] was charged
 paid with [card 5500-0000-0000-0004] yesterday
 Visa [card 4012888888881881] expired
+the number 4111 was on [card 4929 1234 5678 9015] too
+charge [card 3714 496353 98431] please
+his card [card 6011-1111-1111-1117] was lost
+Mastercard [card 5105105105105100] , valid to 2030
 my SSN is [ident 078-05-1120] , keep it safe
 social security [ident 219-09-9999] on file
 ssn : [ident 123-45-6789]
+number [ident 321-54-9876] on his card
+her social is [ident 457-55-5462]
+we met at dot com times , at point zero
+look at the dot on the map
+at 9 am the 3 trains leave from 2 stations
+in 2019 2020 and 2021 sales fell
+call me at 9 or write at 10
+order 4500 123 of 12 May 1999
+the card game has 52 cards
+number 7 beat number 12
+He said 20 30 or 40 is fine
+pages 101 - 140 of volume 3
+sum of 1200 300 45 and 6
+tel quel , il reste 3 jours
 In 1998 the price rose by 14 percent .
 It took 3 days and 12 hours in 2004 .
 page 12 of 240
@@ -102,9 +142,10 @@ x = 12 ; y = 34 ;
 """
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_EXAMPLE = re.compile(r"\[(" + "|".join(LABELS[1:]) + r") ((?:\[[a-z]+\]|[^\]])*)\]")
+_EXAMPLE = re.compile(r"\[(" + "|".join(LABELS[1:]) + r") ((?:\[[A-Za-z]+\]|[^\]])*)\]")
 
-# Feature groups: shape of the word, of both neighbours, number of digits, and a hint word.
+# Feature groups: shape of the word, of both neighbours, digits of the word and of the number it
+# is in, whether it is a hint word, and a hint word shortly before.
 _SHAPES = (
     "none", "word", "at", "dot", "digits1", "digits2", "digits3", "digits4", "digits5",
     "digits9", "groups-", "groups.", "ip", "paren", "mixed", "atsign", "mark", "plus", "other", "glued",
@@ -119,11 +160,16 @@ _HINTS = (
     ("ref", {"page", "chapter", "section", "version", "isbn", "figure", "year", "order", "item"}),
 )
 _COUNTS = (0, 1, 2, 3, 4, 5, 7, 9, 10, 11, 12, 13, 17)
-_GROUPS = (len(_SHAPES),) * 3 + (len(_COUNTS) + 1, len(_HINTS) + 1, len(_HINTS) + 1)
+#: Shapes that go on a number which is written in several words.
+_NUMERIC = [k for k, s in enumerate(_SHAPES) if s.startswith(("digits", "groups", "paren", "plus"))]
+_GROUPS = (len(_SHAPES),) * 3 + (len(_COUNTS) + 1,) * 2 + (len(_HINTS) + 1,) * 2
 _BASES = np.concatenate([[0], np.cumsum(_GROUPS)[:-1]])
 N_FEATURES = sum(_GROUPS)
 
 _STRIP = ".,;:!?\"'"
+_SPELLED_SIGNS = {w: _SHAPES.index("at") for w in ("at", "AT")} | {
+    w: _SHAPES.index("dot") for w in ("dot", "DOT", "punkt", "punto", "point")
+}
 _RULES = [
     (re.compile(p), s)
     for p, s in (
@@ -151,19 +197,23 @@ _RULES = [
 
 def _shape(word: str) -> int:
     core = word.strip(_STRIP) or word
+    if core.isalpha():
+        return _SPELLED_SIGNS.get(core, _SHAPES.index("word"))
     for rule, name in _RULES:
         if rule.fullmatch(core):
             return _SHAPES.index(name)
     return _SHAPES.index("other")
 
 
+_HINTED = {word: k for k, (_, words) in enumerate(_HINTS, 1) for word in words}
+
+
 def _hint(word: str) -> int:
-    core = word.strip(_STRIP + "()").lower()
-    return next((k for k, (_, words) in enumerate(_HINTS, 1) if core in words), 0)
+    return _HINTED.get(word.strip(_STRIP + "()").lower(), 0)
 
 
 class Shapes:
-    """Features of words in windows; frequent words are looked up."""
+    """Shape, hint and number of digits of words; words seen before are looked up."""
 
     def __init__(self):
         self.known: dict[str, tuple[int, int, int]] = {}
@@ -172,25 +222,41 @@ class Shapes:
         if (found := self.known.get(word)) is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            found = _shape(word), _hint(word), sum(c.isdigit() for c in word)
+            digits = 0 if word.isalpha() else sum(c.isdigit() for c in word)
+            found = _shape(word), _hint(word), digits
             self.known[word] = found
         return found
 
-    def features(self, words: list[str], offsets: np.ndarray) -> np.ndarray:
-        found = np.array([self.of(w) for w in words], np.int64).reshape(-1, 3)
-        first = np.zeros(len(words), bool)
-        first[offsets[:-1]] = True
-        last = np.zeros(len(words), bool)
-        last[offsets[1:] - 1] = True
-        shape, hint, digits = found.T
-        before, after = np.roll(shape, 1), np.roll(shape, -1)
-        before[first], after[last] = 0, 0
-        near = [np.roll(hint, 1), np.roll(hint, 2)]
-        near[0][first] = 0
-        near[1][first | np.roll(first, 1)] = 0
-        hinted = np.where(near[0] > 0, near[0], near[1])
-        count = np.searchsorted(_COUNTS, digits, "right")
-        return np.stack([shape, before, after, count, hint, hinted], 1) + _BASES
+    def of_texts(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """One row for each word; equal words are looked at once."""
+        data = texts.data.tobytes()
+        hashes = hash_ranges(texts.data, starts, ends)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        places = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+        found = [self.of(data[a:b].decode()) for a, b in places]
+        return np.array(found, np.int64).reshape(-1, 3)[which]
+
+
+def features_of(found: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Features of words from their shapes and those of their neighbours in a sequence."""
+    some = np.diff(offsets) > 0
+    first, last = np.zeros((2, len(found)), bool)
+    first[offsets[:-1][some]] = True
+    last[offsets[1:][some] - 1] = True
+    shape, hint, digits = found.T
+    before, after = np.roll(shape, 1), np.roll(shape, -1)
+    before[first], after[last] = 0, 0
+    near = [np.roll(hint, 1), np.roll(hint, 2)]
+    near[0][first] = 0
+    near[1][first | np.roll(first, 1)] = 0
+    hinted = np.where(near[0] > 0, near[0], near[1])
+    # digits of a number that is written in several words
+    numeric = np.isin(shape, _NUMERIC)
+    fresh = first | ~numeric | ~np.roll(numeric, 1)
+    run = np.cumsum(fresh) - 1
+    whole = np.bincount(run, digits * numeric).astype(np.int64)[run] if len(run) else digits
+    count, total = (np.searchsorted(_COUNTS, c, "right") for c in (digits, whole))
+    return np.stack([shape, before, after, count, total, hint, hinted], 1) + _BASES
 
 
 def labelled(table: str = EXAMPLES) -> tuple[list[list[str]], list[list[int]]]:
@@ -215,9 +281,11 @@ def labelled(table: str = EXAMPLES) -> tuple[list[list[str]], list[list[int]]]:
 def train(table: str = EXAMPLES) -> crf.Crf:
     words, labels = labelled(table)
     offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-    features = Shapes().features([w for row in words for w in row], offsets)
+    shapes = Shapes()
+    found = np.array([shapes.of(w) for row in words for w in row], np.int64).reshape(-1, 3)
+    features = features_of(found, offsets)
     flat = np.array([x for row in labels for x in row], np.int64)
-    return crf.fit(features, offsets, flat, N_FEATURES, len(LABELS), steps=150, ridge=2e-3)
+    return crf.fit(features, offsets, flat, N_FEATURES, len(LABELS), steps=300, ridge=5e-4)
 
 
 def _luhn(digits: str) -> bool:
@@ -253,34 +321,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-_OPENING = [_SHAPES.index(s) for s in ("at", "dot", "atsign", "glued")]
-
-
-def openers(data: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, shapes: Shapes) -> np.ndarray:
-    """Numbers of the words that open a window; equal words are looked at once."""
-    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-    opens = np.zeros(len(first), bool)
-    for k, (a, b) in enumerate(zip(starts[first].tolist(), ends[first].tolist(), strict=True)):
-        word = data[a:b].decode()
-        shape, hint, digits = shapes.of(word)
-        opens[k] = digits or hint or shape in _OPENING or "@" in word
-    return np.flatnonzero(opens[which])
-
-
-def windows(text: np.ndarray, marked: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the words within reach of a marked word of the same text, and offsets of
-    their windows."""
-    near = np.zeros(len(text) + 1, np.int64)
-    lo = np.searchsorted(text, text[marked], "left")
-    hi = np.searchsorted(text, text[marked], "right")
-    np.add.at(near, np.maximum(marked - reach, lo), 1)
-    np.add.at(near, np.minimum(marked + reach + 1, hi), -1)
-    rows = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-    if not len(rows):
-        return rows, np.zeros(1, np.int64)
-    fresh = np.ones(len(rows), bool)
-    fresh[1:] = (np.diff(rows) > 1) | (np.diff(text[rows]) > 0)
-    return rows, np.append(np.flatnonzero(fresh), len(rows))
+_SPELLED = re.compile(r"(?i)\bat\b.*\b(?:dot|punkt|punto|point)\b")
 
 
 def _likely(kind: str, value: str) -> bool:
@@ -294,35 +335,21 @@ def _likely(kind: str, value: str) -> bool:
         return digits == 9
     if kind == "ip":
         return re.search(r"\d+\.\d+\.\d+\.\d+", value) is not None
-    return "@" in value or re.search(r"(?i)\bat\b.*\bdot\b", value) is not None
+    return "@" in value or _SPELLED.search(value) is not None
 
 
 def model_spans(texts: Texts, model: crf.Crf, shapes: Shapes) -> list[list[tuple[str, int, int]]]:
     """Spans of the model for each text, in code points."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in range(texts.n)]
     starts, ends, text = texts.words()
-    data = texts.data.tobytes()
-    marked = openers(data, starts, ends, hash_ranges(texts.data, starts, ends), shapes)
-    if not len(marked):
+    if not len(starts):
         return out
-    reach = np.full(len(marked), MARGIN)
-    while True:
-        rows, offsets = windows(text, marked, reach)
-        a, b = starts[rows].tolist(), ends[rows].tolist()
-        words = [data[x:y].decode() for x, y in zip(a, b, strict=True)]
-        features = shapes.features(words, offsets)
-        labels = model.decode(features, offsets)
-        low, high = offsets[:-1], offsets[1:] - 1
-        before, after = np.maximum(rows[low] - 1, 0), np.minimum(rows[high] + 1, len(text) - 1)
-        cut = (labels[low] > 0) & (rows[low] > 0) & (text[before] == text[rows[low]])
-        cut |= (labels[high] > 0) & (rows[high] < len(text) - 1) & (text[after] == text[rows[high]])
-        if not cut.any():
-            break
-        reach[cut[np.searchsorted(rows[low], marked, "right") - 1]] *= 2
-    starts, ends, text = starts[rows], ends[rows], text[rows]
-    window = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    data = texts.data.tobytes()
+    offsets = np.searchsorted(text, np.arange(texts.n + 1), "left")
+    features = features_of(shapes.of_texts(texts, starts, ends), offsets)
+    labels = model.decode_sparse(features, offsets)
     new = np.ones(len(labels), bool)
-    new[1:] = (labels[1:] != labels[:-1]) | (window[1:] != window[:-1])
+    new[1:] = (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(labels)) - 1
     points = np.zeros(len(texts.data) + 1, np.int64)
