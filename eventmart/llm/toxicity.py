@@ -8,9 +8,11 @@ insult of a target, or a negated or reported one. Readings, not words, carry wei
 scores by the weighted number of its matched clauses.
 
 The grammar's shape and a few function words are given. Which words and which beginnings of
-words insult or threaten is learned from labelled texts, as are the weights of the readings;
-labels, language, source and ids are never inputs of a score. At most ``max_docs`` labelled
-documents are used, those with the smallest hashes of their ids.
+words insult or threaten is learned from labelled texts, as are the weights of the readings: an
+entry that is mostly followed by a target, as in a deed done to someone, is a threat, any other
+an insult. Labels, language, source and ids are never inputs of a score. At most ``max_docs``
+labelled documents are used, those with the smallest hashes of their ids; the lexicon learned
+from them has no other bound.
 
 Defined cases: a null or empty text has no clause and gets the score of such texts; repeated
 rows give equal scores; extra columns pass through, but for those named like added columns,
@@ -45,8 +47,9 @@ WORDS = {
 LEAST_TEXTS, LEAST_RATIO = 4, 12.0
 #: Beginnings of words that are tried as entries, in characters.
 STEMS = (2, 3, 4, 5, 6, 7)
-#: Longest learned lexicon.
-MAX_ENTRIES = 20_000
+#: A threat is followed by a target within so many words of its clause, at least so many times
+#: in toxic texts, and so much more often than it follows one.
+NEAR, LEAST_AIMED, AIMED_RATIO = 2, 2, 2
 
 _CLAUSE_END = np.zeros(256, bool)
 _CLAUSE_END[np.frombuffer(b".,;:!?\n", np.uint8)] = True
@@ -100,8 +103,9 @@ def compose() -> tuple[np.ndarray, np.ndarray]:
 
 
 _READINGS = [k + m for k, m in product(("insult", "threat"), ("", "_target", "_negated", "_reported"))]
-#: What a text is scored by: logarithms of counts of readings, and their share of clauses.
-N_FEATURES = len(_READINGS) + 2
+#: What a text is scored by: logarithms of the clauses of each reading, of all matched clauses,
+#: and of the shares of clauses that assert, and that negate or report, something.
+N_FEATURES = len(_READINGS) + 3
 
 
 @dataclass
@@ -137,10 +141,8 @@ def _clean_words(texts: Texts):
 def _stem_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: int) -> np.ndarray:
     """End of the first ``chars`` characters of each word; past the end where it is shorter."""
     at = starts.copy()
-    lead = (data & 0xC0) != 0x80
     size = np.ones(256, np.int64)
     size[0xC0:0xE0], size[0xE0:0xF0], size[0xF0:] = 2, 3, 4
-    del lead
     for _ in range(chars):
         inside = at < ends
         at = at + np.where(inside, size[data[np.minimum(at, len(data) - 1)]], len(data) + 1)
@@ -198,10 +200,14 @@ def features(texts: Texts, grammar: Grammar) -> np.ndarray:
     counts = np.stack(
         [np.bincount(owner[named[:, k]], minlength=texts.n) for k in range(len(_READINGS))], 1
     )
-    words = np.bincount(text, minlength=texts.n)
+    asserted = named[:, [0, 1, 4, 5]].any(axis=1)
+    fresh = np.r_[True, clause[1:] != clause[:-1]]
+    clauses = np.maximum(np.bincount(text[fresh], minlength=texts.n), 1)
     out[:, : len(_READINGS)] = np.log1p(counts)
-    out[:, -2] = np.log1p(counts[:, :].sum(axis=1))
-    out[:, -1] = np.log1p(100 * np.bincount(text[bad], minlength=texts.n) / np.maximum(words, 1))
+    out[:, -3] = np.log1p(counts.sum(axis=1))
+    for column, some in ((-2, asserted), (-1, ~asserted)):
+        share = np.bincount(owner[some], minlength=texts.n) / clauses
+        out[:, column] = np.log1p(100 * share)
     return out
 
 
@@ -210,35 +216,55 @@ def _hash_of(word: str) -> np.uint64:
     return hash_ranges(data, np.array([0]), np.array([len(data)]))[0]
 
 
+def _aimed(targets: np.ndarray, clause: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a target stands within ``NEAR`` words after, and before, each word of a clause."""
+    after, before = np.zeros((2, len(targets)), bool)
+    for k in range(1, NEAR + 1):
+        same = clause[k:] == clause[:-k]
+        after[:-k] |= same & targets[k:]
+        before[k:] |= same & targets[:-k]
+    return after, before
+
+
 def _seen(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Distinct entries of each text: (hash, chars, toxic)."""
+    """Entries of the batch: (entry, chars), the toxic and other texts that hold it, and its
+    places in toxic texts with a target after and before it."""
     texts = Texts(batch.column("text"), lower=True)
     toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-    starts, ends, text, _ = _clean_words(texts)
-    keys, owners, chars_of = [], [], []
+    starts, ends, text, clause = _clean_words(texts)
+    known = np.sort(np.array([_hash_of(w) for w in WORDS[TARGET]], np.uint64))
+    found = [[np.empty(0, kind)] for kind in (np.uint64, np.int32, np.int64, np.int64, np.int64)]
+    after = before = None
     for chars, rows, hashes, _ in _entries(texts.data, starts, ends):
-        order = np.lexsort((hashes, text[rows]))
-        h, t = hashes[order], text[rows][order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-        keys.append(h[new])
-        owners.append(t[new])
-        chars_of.append(np.full(int(new.sum()), chars, np.int32))
-    owner = np.concatenate([*owners, np.empty(0, np.int64)])
-    key = np.concatenate([*keys, np.empty(0, np.uint64)])
-    chars = np.concatenate([*chars_of, np.empty(0, np.int32)])
+        if after is None:  # whole words come first
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            after, before = _aimed(known[at] == hashes, clause)
+        for held, part in zip(
+            found,
+            (hashes, np.full(len(rows), chars, np.int32), text[rows], after[rows], before[rows]),
+            strict=True,
+        ):
+            held.append(part)
+    key, chars, owner, after, before = (np.concatenate(c) for c in found)
     # summed within the batch before it is shuffled
-    order = np.lexsort((key, chars))
-    key, chars, owner = key[order], chars[order], owner[order]
-    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (chars[1:] != chars[:-1])])
-    first = first[: len(key)] if len(key) else first[:0]
-    hit = toxic[owner] if len(owner) else owner
+    order = np.lexsort((owner, key, chars))
+    key, chars, owner, after, before = (c[order] for c in (key, chars, owner, after, before))
+    new = np.r_[True, (key[1:] != key[:-1]) | (chars[1:] != chars[:-1])][: len(key)]
+    once = new | np.r_[True, owner[1:] != owner[:-1]][: len(key)]
+    first = np.flatnonzero(new)
+    bad = toxic[owner] if len(owner) else owner
+
+    def total(values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values.astype(np.int64), first) if len(first) else first
+
     return pa.RecordBatch.from_pydict(
         {
             "entry": key[first].view(np.int64),
             "chars": chars[first],
-            "bad": np.add.reduceat(hit, first) if len(first) else np.empty(0, np.int64),
-            "good": np.add.reduceat(1 - hit, first) if len(first) else np.empty(0, np.int64),
+            "bad": total(once * bad),
+            "good": total(once * (1 - bad)),
+            "after": total(after * bad),
+            "before": total(before * bad),
         }
     )
 
@@ -251,8 +277,8 @@ def held_out(doc_id: str) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000) -> Grammar:
     """Learn the lexicon and weights from rows that are not held out.
 
-    What reaches the driver is bounded: ``MAX_ENTRIES`` entries, and ``max_docs`` rows of
-    measures. Without labels the grammar knows its given words alone and scores 0.5.
+    What reaches the driver is bounded by ``max_docs``: its rows of measures, and the entries
+    that ``LEAST_TEXTS`` of its texts hold. Without labels the grammar knows its given words alone and scores 0.5.
     """
     sample = (
         labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id"))
@@ -268,9 +294,12 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000) -> Grammar
     n_bad = sizes[1] or 0
     n_good = sizes[0] - n_bad
     counts = (
-        picked.mapInArrow(per_chunk(_seen, "text"), "entry bigint, chars int, bad bigint, good bigint")
+        picked.mapInArrow(
+            per_chunk(_seen, "text"),
+            "entry bigint, chars int, bad bigint, good bigint, after bigint, before bigint",
+        )
         .groupBy("entry", "chars")
-        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        .agg(*[F.sum(c).alias(c) for c in ("bad", "good", "after", "before")])
     )
     ratio = (F.col("bad") / max(n_bad, 1)) / ((F.col("good") + 0.5) / max(n_good, 1))
     top = (
@@ -278,12 +307,12 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000) -> Grammar
         .withColumn("ratio", ratio)
         .where(F.col("ratio") >= LEAST_RATIO)
         .orderBy(F.desc("ratio"), "entry", "chars")
-        .limit(MAX_ENTRIES)
         .collect()
     )
     known = {int(_hash_of(w)): (kind, False) for kind, words in WORDS.items() for w in words}
     for row in top:
-        known.setdefault(row.entry & (2**64 - 1), (INSULT, row.chars > 0))
+        aimed = row.after >= LEAST_AIMED and row.after > AIMED_RATIO * row.before
+        known.setdefault(row.entry & (2**64 - 1), (THREAT if aimed else INSULT, row.chars > 0))
     order = sorted(known)
     grammar = Grammar(
         np.array(order, np.uint64),
