@@ -3,8 +3,8 @@
 A linear-chain conditional random field labels the lines of a text as content or
 boilerplate; a text is kept when content holds at least half of its words.
 
-The model learns from a bounded sample of labelled documents (``max_docs`` documents,
-their first ``max_lines`` lines each); it then reads every line of every text. Document
+The model learns from a bounded sample of whole labelled documents (``max_docs`` documents
+of ``max_lines`` lines together); it then reads every line of every text. Document
 labels become line labels in two rounds: first every line takes its document's label, then
 lines of a rejected document that the first model calls content become content, unless they
 would carry the document.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventmart.llm import crf
@@ -128,33 +129,30 @@ def measure(texts: Texts) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray
     return counts, features, offsets, n_words
 
 
-def _line_table(max_lines: int):
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, features, offsets, words = measure(Texts(batch.column("text")))
-        ends = np.minimum(offsets[1:], offsets[:-1] + max_lines)
-        cut = [slice(a, b) for a, b in zip(offsets[:-1], ends, strict=True)]
-        return pa.RecordBatch.from_pydict(
-            {
-                "quality": batch.column("quality"),
-                "features": [features[c].tobytes() for c in cut],
-                "words": [words[c].astype(np.int32).tobytes() for c in cut],
-            }
-        )
-
-    return per_chunk(run, "text")
+def _line_table(batch: pa.RecordBatch) -> pa.RecordBatch:
+    _, features, offsets, words = measure(Texts(batch.column("text")))
+    cut = [slice(a, b) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return pa.RecordBatch.from_pydict(
+        {
+            "quality": batch.column("quality"),
+            "features": [features[c].tobytes() for c in cut],
+            "words": [words[c].astype(np.int32).tobytes() for c in cut],
+        }
+    )
 
 
 def train(
     docs: DataFrame,
     labels: DataFrame,
     max_docs: int = 1_000,
-    max_lines: int = 32,
+    max_lines: int = 64_000,
 ) -> crf.Crf:
-    """Fit the line model on at most ``max_docs`` labelled documents.
+    """Fit the line model on at most ``max_docs`` labelled documents, all lines of each.
 
     ``labels`` has (doc_id, quality), 1 for good; null labels are left out. The sample is
-    the labelled ids with the smallest hashes. Without labels the model calls every line
-    content. What reaches the driver is at most ``max_docs * max_lines`` rows of features.
+    the labelled ids with the smallest hashes, as long as their texts have ``max_lines`` lines
+    together; a text of more than a sixteenth of that is passed over. Without labels the model
+    calls every line content. What reaches the driver is at most ``max_lines`` rows of features.
     """
     sample = (
         labels.select("doc_id", "quality")
@@ -166,11 +164,21 @@ def train(
     )
     # at most max_docs rows, so the broadcast has a known bound
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+    lines = F.regexp_count("text", F.lit("\n")) + 1
+    # a bounded number of rows, so one task may add up their lines
+    picked = (
+        picked.withColumn("lines", F.coalesce(lines, F.lit(1)))
+        .where(F.col("lines") <= max_lines // 16)
+        .orderBy(*order)
+        .limit(2 * max_docs)  # repeated ids in docs
+        .withColumn("upto", F.sum("lines").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
+        .where(F.col("upto") <= max_lines)
+    )
     rows = (
         picked.select("text", "quality")
-        .mapInArrow(_line_table(max_lines), "quality int, features binary, words binary")
+        .mapInArrow(per_chunk(_line_table, "text"), "quality int, features binary, words binary")
         .orderBy("quality", "features", "words")
-        .limit(2 * max_docs)  # repeated ids in docs
         .collect()
     )
     rows = [r for r in rows if len(r.words)]
