@@ -1,7 +1,13 @@
-"""From raw documents to token ids: filter, deduplicate, mix and encode.
+"""From raw documents to token ids: filter, deduplicate, mix, encode and decode.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns the
 documents it keeps. All but the last return the columns of ``documents``.
+
+Defined cases: a null, empty or short text is rejected by the first stage, so later ones see
+none, but for texts that line dedup leaves empty; these stay, and are encoded as begin and
+end alone. Rows with equal doc_id and text are one document to the duplicate stages and rows
+of their own to the others. A row with a null doc_id passes through as a document of its own.
+Columns of ``documents`` other than the five named are left out. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,9 +44,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.emit(docs.select(*COLUMNS))
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids as little-endian unsigned 32-bit integers, and their number."""
-    return piece_codec.encode(docs.select("doc_id", "source", "text")).drop("text")
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids as little-endian unsigned 32-bit integers, their number, and the text that
+    they decode to."""
+    return piece_codec.round_trip(docs.select("doc_id", "source", "text")).drop("text")
 
 
 STAGES = [
@@ -48,10 +55,10 @@ STAGES = [
     ("line dedup", lines),
     ("n-gram Jaccard join", near_copies),
     ("mixing to target weights", mix),
-    ("SentencePiece encoding", encode),
+    ("SentencePiece encoding and decoding", tokens),
 ]
 
-#: The quality and token stages have no SQL form; tests compare run() with plain Python.
+#: The quality and token stages have no SQL form; a test compares run() with plain Python.
 ORACLE_SQL = None
 
 
@@ -59,5 +66,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = runtime.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, runtime.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        runtime.released(before)
     return docs
