@@ -18,22 +18,31 @@ def _minima(edges: DataFrame) -> DataFrame:
     return runtime.written(edges.groupBy("u").agg(F.min("v").alias("m")), "component-minima")
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _step(edges: DataFrame, around: DataFrame, moved) -> DataFrame:
+    """Edges after one contraction, written; ``moved(edges, minima)`` gives them."""
+    minima = _minima(around)
+    out = runtime.written(moved(around, minima).distinct(), "component-edges")
+    runtime.released(minima, edges)
+    return out
+
+
+def _large(edges: DataFrame, minima: DataFrame) -> DataFrame:
     """Every larger neighbour of u moves to the smallest vertex around u."""
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    near = both.join(_minima(both), "u").withColumn("m", F.least("m", "u"))
-    return near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    near = edges.join(minima, "u").withColumn("m", F.least("m", "u"))
+    moved = near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.where("u != v")
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, minima: DataFrame) -> DataFrame:
     """u and its smaller neighbours move to the smallest of them; edges have u > v."""
-    near = edges.join(_minima(edges), "u")
+    near = edges.join(minima, "u")
     moved = near.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(near.select("u", F.col("m").alias("v")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component_id) for every vertex of ``edges`` (a, b); the smallest id names it.
+    """(id, component_id) for every vertex of ``edges`` (a, b), written; the smallest id names
+    a component.
 
     Loops, repeated edges and edges with a null end are ignored.
     """
@@ -49,8 +58,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if state == seen or not state[0]:
             break
         seen = state
-        stars = runtime.written(_large(now).where("u != v").distinct(), "component-edges")
-        now = runtime.written(_small(stars).distinct(), "component-edges")
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        stars = _step(now, both, _large)
+        now = _step(stars, stars, _small)
     names = now.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
-    return names.union(roots)
+    out = runtime.written(names.union(roots), "components")
+    runtime.released(now)
+    return out

@@ -354,7 +354,7 @@ def _named(spark, vectors, packed, groups, links) -> DataFrame:
     edges = links.select(F.col("rep").alias("a"), F.col("root").alias("b")).union(
         members.select("vec_id", "rep")
     )
-    comps = runtime.written(connected_components(edges), "ego-components")
+    comps = connected_components(edges)
     named = vectors.select("vec_id").join(own, "vec_id", "left")
     named = named.join(comps, named.vec_id == comps.id, "left")
     component = F.coalesce("component_id", "vec_id")

@@ -222,10 +222,11 @@ def _tiles(batches):
     """Leader links (kind 0: leader, member) and rows of tiles of three or more (kind 1).
 
     Rows come sorted by shingle, size and id. A run that goes past a batch is carried on; of
-    a very long one only the current leader is.
+    a very long one only the current leader is, and all its rows are of kind 1, however few
+    of them are left after that.
     """
 
-    def work(shingle, n, doc, whole):
+    def work(shingle, n, doc, whole, carried):
         start = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
         length = np.diff(np.r_[start, len(shingle)])
         run_length = np.repeat(length, length)
@@ -241,7 +242,9 @@ def _tiles(batches):
         member = np.flatnonzero(lead != np.arange(len(lead)))
         pairs = np.unique(np.stack([doc[lead[member]], doc[member]], 1), axis=0)
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        many = np.flatnonzero(run_length >= 3) if whole else np.arange(len(lead))
+        # the rows before a carried leader are out already
+        open_ = (run_length >= 3) | (carried & (shingle == shingle[0]))
+        many = np.flatnonzero(open_) if whole else np.arange(len(lead))
         last_lead = lead[-1]
         return last_lead, pa.RecordBatch.from_pydict(
             {
@@ -252,7 +255,7 @@ def _tiles(batches):
             }
         )
 
-    held = None
+    held, carried = None, False
     for batch in batches:
         rows = [batch.column(c).to_numpy() for c in ("shingle", "n", "doc_id")]
         if held is not None:
@@ -263,14 +266,15 @@ def _tiles(batches):
         cut = int(np.searchsorted(shingle, shingle[-1], "left"))
         if cut:
             # rows before the last run are whole runs
-            yield work(*(r[:cut] for r in rows), whole=True)[1]
+            yield work(*(r[:cut] for r in rows), whole=True, carried=carried)[1]
+            carried = False
         held = [r[cut:] for r in rows]
         if len(held[0]) > HELD:
-            lead, out = work(*held, whole=False)
+            lead, out = work(*held, whole=False, carried=carried)
             yield out
-            held = [r[lead : lead + 1] for r in held]
+            held, carried = [r[lead : lead + 1] for r in held], True
     if held is not None and len(held[0]):
-        yield work(*held, whole=True)[1]
+        yield work(*held, whole=True, carried=carried)[1]
 
 
 def _blocks(nearest: bool):
@@ -357,7 +361,7 @@ def _candidates(units: DataFrame, bits: DataFrame, across: bool, nearest: bool)
         F.min("comp").alias("lo"),
         F.max("comp").alias("hi"),
     )
-    sizes = runtime.written(sizes.where("lo != hi").select("unit", "k"), "jaccard-sizes")
+    sizes = sizes.where("lo != hi").select("unit", "k")
     dealt = units.join(sizes, "unit").join(bits, "doc_id").select(
         "unit", "doc_id", "n", "comp", "bitmap", "k",
         F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int").alias("side"),
@@ -404,29 +408,40 @@ def _exact(n: int):
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """Those of the written ``pairs`` (a, b) whose exact Jaccard reaches the threshold.
+def _texts(docs: DataFrame, *ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents that ``ids`` (doc_id) name, written. The texts meet
+    the ids in one kind of join at every size."""
+    every = ids[0]
+    for more in ids[1:]:
+        every = every.union(more)
+    kept = docs.join(every.distinct().hint("merge"), "doc_id", "left_semi")
+    return runtime.written(kept, "jaccard-texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """Those of the written ``pairs`` (a, b) whose exact Jaccard reaches the threshold, written.
 
     Each member's text goes once to each of its leaders; a leader of many is salted.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    ids = runtime.written(ids, "jaccard-ids")
-    texts = runtime.written(docs.join(ids, "doc_id", "left_semi"), "jaccard-texts")
+    near = _texts(texts, pairs.select(F.col("a").alias("doc_id")), pairs.select("b"))
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(256)).cast("int").alias("k"))
     salts = runtime.written(salts, "jaccard-salts")
-    by_b = texts.select(F.col("doc_id").alias("b"), "text")
-    members = pairs.join(salts, "a").join(by_b, "b")
+    by_b = near.select(F.col("doc_id").alias("b"), "text")
+    members = pairs.join(salts, "a").hint("merge").join(by_b, "b")
     members = members.select(
         "a", F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("salt"), F.lit(1).alias("role"),
         "b", "text",
     )
-    leaders = salts.join(texts.withColumnRenamed("doc_id", "a"), "a").select(
+    leaders = salts.hint("merge").join(near.withColumnRenamed("doc_id", "a"), "a").select(
         "a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("salt"),
         F.lit(0).alias("role"), F.col("a").alias("b"), "text",
     )
     both = leaders.union(members).repartition("a", "salt")
     sorted_ = both.sortWithinPartitions("a", "salt", "role", "b")
-    return sorted_.mapInArrow(_exact(n), "a bigint, b bigint").distinct()
+    found = sorted_.mapInArrow(_exact(n), "a bigint, b bigint").distinct()
+    found = runtime.written(found, "jaccard-links")
+    runtime.released(near, salts)
+    return found
 
 
 def near_duplicates(
@@ -482,6 +497,7 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> Dat
     common = runtime.written(common_shingles(docs, words, total), "jaccard-common")
     top = common.orderBy(F.desc("df"), "key").limit(MAX_COMMON)
     table = top.toArrow()
+    runtime.released(groups, common)
     order = np.argsort(table.column("key").to_numpy().view(np.uint64))
     frequent = np.empty(len(order), [("key", np.uint64), ("rank", np.int64)])
     frequent["key"] = table.column("key").to_numpy().view(np.uint64)[order]
@@ -495,19 +511,29 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> Dat
         .mapInArrow(_tiles, "kind tinyint, x bigint, y bigint, n int"),
         "jaccard-tiles",
     )
+    runtime.released(dropped)
     bits = sig.where("n_shingles > 0").select("doc_id", "n_shingles", "bitmap")
     first = _bounded_pairs(
         tiles.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(),
         bits,
     )
-    links = runtime.written(_verified(first, docs, words), "jaccard-links")
-    comps = runtime.written(connected_components(links), "jaccard-components")
+    # texts are read from the input once; all that follows takes them from here
+    texts = _texts(
+        docs,
+        first.select(F.col("a").alias("doc_id")),
+        first.select("b"),
+        tiles.where("kind = 1").select("y"),
+    )
+    links = _verified(first, texts, words)
+    runtime.released(first)
+    comps = connected_components(links)
 
     many = tiles.where("kind = 1").select(F.col("x").alias("shingle"), F.col("y").alias("doc_id"), "n")
     many = many.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "shingle", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("comp")
     )
     many = runtime.written(many.distinct(), "jaccard-tiles")
+    runtime.released(tiles, comps)
     # open tiles with one smallest id overlap widely: their documents form one unit, so that
     # a pair is tried once and not in each tile that it shares
     open_ = runtime.written(
@@ -521,6 +547,7 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> Dat
         many.join(open_, "shingle").select("unit", "doc_id", "n", "comp").distinct(),
         "jaccard-units",
     )
+    runtime.released(many, open_)
     tried = None
     for across, nearest in ((False, True), (True, True), (True, False)):
         pairs = _candidates(units, bits, across, nearest)
@@ -528,19 +555,20 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> Dat
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = runtime.written(pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        more = _verified(pairs, docs, words)
-        links = runtime.written(links.union(more), "jaccard-links")
+        links = links.union(_verified(pairs, texts, words))
         if nearest:
-            comps = runtime.written(connected_components(links), "jaccard-components")
+            comps = connected_components(links)
             named = comps.withColumnRenamed("id", "doc_id")
-            units = runtime.written(
+            before, units = units, runtime.written(
                 units.drop("comp")
                 .join(named, "doc_id", "left")
                 .select("unit", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("comp")),
                 "jaccard-units",
             )
+            runtime.released(before, comps)
+    runtime.released(texts, units)
     every = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    final = runtime.written(connected_components(every), "jaccard-components")
+    final = connected_components(every)
     return sig.join(final, sig.doc_id == final.id, "left").select(
         sig.doc_id,
         "n_shingles",
