@@ -127,9 +127,9 @@ def join_as_of(
 
     Facts and versions are one stream, sorted by time in each key and slice of time, in which
     the last version is carried along; no fact is compared with a version it does not meet.
-    Over the edges of slices the version is carried once for each slice that holds a fact.
-    A version that runs past the start of the key's next one cannot be carried: it is handed
-    to all slices it overlaps, up to the last fact. The slices only deal out the work.
+    Over the edges of slices the version is carried once for each slice in use. A version that
+    runs past the start of the key's next one cannot be carried: it is handed to all slices it
+    overlaps, up to the last one in use. The slices only deal out the work.
 
     A number or ``None`` for ``versions_per_slice`` joins on the key instead, keys with more
     versions than that cut into slices; a history small enough to be broadcast then leaves
@@ -194,29 +194,25 @@ def _by_carry(
         stream = stream.unionByName(
             ends.withColumn("__slice", slice_), allowMissingColumns=True
         )
-    so_far = (
-        Window.partitionBy(*group)
-        .orderBy("__at", "__kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    seen = [F.last("__v", ignorenulls=True).over(so_far).alias("__v")]
-    if both:
-        seen.append(F.last("__e", ignorenulls=True).over(so_far).alias("__e"))
-    met = stream.select(*group, "__at", "__kind", "__f", *seen).filter("__kind = 2")
-
-    # the version in force when a slice begins, for slices with facts
-    used = fact.select(*keyed, epoch_micros(ts).alias("__at")).filter(has_key & at.isNotNull())
-    used = used.select(*named, slice_.alias("__slice")).distinct()
-    lasts = plain.groupBy(*named, slice_.alias("__slice")).agg(F.max_by("__v", "__at").alias("__v"))
-    lasts = lasts.unionByName(used, allowMissingColumns=True)
-    lasts = lasts.groupBy(*group).agg(F.first("__v", ignorenulls=True).alias("__v"))
+    in_slice = Window.partitionBy(*group).orderBy("__at", "__kind")
+    so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = ["__v", "__e"] if both else ["__v"]
+    seen = [F.last(c, ignorenulls=True).over(so_far).alias(f"{c}_seen") for c in held]
+    # all columns go into the test, so that both readers below need the same exchange
+    is_last = F.lead(F.struct("__f", *held)).over(in_slice).isNull()
+    walked = stream.select(*group, "__at", "__kind", "__f", *seen, is_last.alias("__last"))
+    walked = walked.withColumnsRenamed({f"{c}_seen": c for c in held})
+    met = walked.filter("__kind = 2").drop("__kind", "__last")
+
+    # the version in force when a slice begins
+    edges = walked.filter(F.col("__last") & has_key & at.isNotNull()).select(*group, "__v")
     earlier = Window.partitionBy(*named).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select(
+    carried = edges.select(
         *group, F.last("__v", ignorenulls=True).over(earlier).alias("__before")
     ).filter("__before IS NOT NULL")
 
-    # versions that overlap others, in every slice they reach up to the last fact
-    final = used.agg(F.max("__slice").alias("__final"))
+    # versions that overlap others, in every slice they reach up to the last one in use
+    final = edges.agg(F.max("__slice").alias("__final"))
     reach = F.least(
         F.coalesce(F.floor(until / F.lit(slice_seconds * 1_000_000)), F.col("__final")),
         F.col("__final"),

@@ -48,7 +48,9 @@ def occupancy_over_time(
     )
     running = net.withColumn("occupied", F.sum("net_change").over(so_far))
     if not keys:
-        days = net.groupBy("__day").agg(F.sum("net_change").alias("net_change"))
+        # the filter drops nothing; with the same columns both readers of net share its exchange
+        days = net.filter("arrivals >= 0").groupBy("__day")
+        days = days.agg(F.sum("net_change").alias("net_change"))
         running = running.join(before_each(days, "__day", "net_change", F.sum), "__day", "left")
         running = running.withColumn(
             "occupied", F.col("occupied") + F.coalesce("before", F.lit(0))
@@ -104,14 +106,19 @@ def variance(
         before = F.lag(value).over(Window.partitionBy(*keys).orderBy(period))
         return rollup.withColumn("previous", before).withColumn("change", change)
     inside = Window.partitionBy("__day").orderBy(period)
-    here = F.struct(F.col(period).alias("period"), F.col(value).alias("value"))
     dealt = rollup.withColumn("__day", number)
-    lasts = dealt.groupBy("__day").agg(F.max(here).alias("last"))
+    # whole rows, so that both readers of the rollup share its exchange
+    row = F.struct(*rollup.columns)
+    lasts = dealt.groupBy("__day").agg(F.max_by(row, F.struct(period)).alias("last"))
     stepped = dealt.withColumns(
-        {"__in_day": F.lag(here).over(inside), "__first": F.row_number().over(inside) == 1}
+        {"__in_day": F.lag(value).over(inside), "__first": F.row_number().over(inside) == 1}
     )
-    joined = stepped.join(before_each(lasts, "__day", "last", F.max), "__day", "left")
-    previous = F.when(F.col("__first"), F.col("before.value")).otherwise(F.col("__in_day.value"))
+
+    def latest(rows: str) -> Column:
+        return F.max_by(rows, F.struct(F.col(rows)[period]))
+
+    joined = stepped.join(before_each(lasts, "__day", "last", latest), "__day", "left")
+    previous = F.when(F.col("__first"), F.col("before")[value]).otherwise(F.col("__in_day"))
     return joined.select(
         *rollup.columns, previous.alias("previous")
     ).withColumn("change", change)

@@ -122,6 +122,7 @@ def state_sessions(
     names: tuple[str, str] = ("arrival_time", "departure_time"),
     rows_per_slice: int | str | None = "time",
     keep_open: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per ``start`` state whose very next row of the same key is an ``end`` state.
 
@@ -130,9 +131,10 @@ def state_sessions(
     and duration are NULL. States are filtered only after the next
     row is known: an earlier filter would change which rows are neighbours.
 
-    Output: session_id, key, arrival, departure, duration_minutes.
+    Output: session_id, key, arrival, departure, duration_minutes, and the ``carry`` columns of
+    the start's row.
     """
-    rows = df.select(*dict.fromkeys([key, state, ts, *tie_break]))
+    rows = df.select(*dict.fromkeys([key, state, ts, *tie_break, *carry]))
     # A copied reading neither starts nor ends a second session, unless start and end agree.
     stepped = with_next(
         rows, [key], ts, [state, ts], tie_break, rows_per_slice, start != end
@@ -149,5 +151,6 @@ def state_sessions(
             F.col(ts).alias(arrival),
             F.col(f"next_{ts}").alias(departure),
             minutes_between(ts, f"next_{ts}").alias("duration_minutes"),
+            *carry,
         )
     )

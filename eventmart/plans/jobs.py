@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart import runtime
+from eventmart.operators import kpi
 from eventmart.operators.clean import stamp
 from eventmart.operators.dedup import distinct_rows
 from eventmart.operators.reshape import stringify_nested
@@ -202,12 +203,58 @@ def build_gold(
         "dim_bays": parking.dim_bays(silver["parking_bays"], now),
         "dim_meters": parking.dim_meters(silver["parking_meters"], now),
         "dim_restrictions": parking.dim_restrictions(silver["parking_restrictions"], now),
-        "fact_parking_sessions": parking.fact_sessions(silver["parking_sensors"], now),
+        "dim_zones": parking.dim_zones(silver["parking_zones_plates"], now),
+        "fact_parking_sessions": parking.fact_sessions(silver["parking_sensors"], now, zone=True),
     }
     for name, df in models.items():
         sinks.overwrite_table(df, f"{gold_db}.{name}")
+    fact, bays, zones = (
+        spark.table(f"{gold_db}.{n}") for n in ("fact_parking_sessions", "dim_bays", "dim_zones")
+    )
+    sinks.overwrite_table(parking.report(fact, bays, zones=zones), f"{gold_db}.rpt_parking_master")
+
+
+def run_checks(spark: SparkSession, gold_db: str, table: str = "quality_report") -> None:
+    """All checks of the gold layer into a table, one row each."""
     fact, bays = spark.table(f"{gold_db}.fact_parking_sessions"), spark.table(f"{gold_db}.dim_bays")
-    sinks.overwrite_table(parking.report(fact, bays), f"{gold_db}.rpt_parking_master")
+    sinks.overwrite_table(parking.quality_reports(fact, bays), f"{gold_db}.{table}")
+
+
+def build_indicators(spark: SparkSession, gold_db: str) -> None:
+    """Indicators over the written fact, dimensions and report, one table each."""
+    fact = spark.table(f"{gold_db}.fact_parking_sessions")
+    report = spark.table(f"{gold_db}.rpt_parking_master")
+    rules = spark.table(f"{gold_db}.dim_restrictions")
+    fields = {**kpi.RULE_FIELDS, "max_minutes": "max_minutes", "type": "type_desc"}
+    arrival, departure = "arrival_time", "departure_time"
+    daily = kpi.period_totals(fact, arrival, "day")
+    ruled = kpi.rule_in_force(fact, rules, "bay_id", arrival, fields=fields)
+    along = kpi.rules_along_stay(fact, rules, "bay_id", arrival, departure, fields=fields)
+    indicators = {
+        "kpi_daily": kpi.variance(daily, "period", "total_value"),
+        "kpi_occupancy": kpi.occupancy_over_time(fact, arrival, departure),
+        "kpi_zone_occupancy": kpi.occupancy_over_time(
+            fact, arrival, departure, keys=["zone_number"]
+        ),
+        "kpi_peak_hours": kpi.peak_hours(fact, arrival),
+        "kpi_turnover": kpi.turnover(fact, "bay_id", arrival),
+        "kpi_stay_shares": kpi.stay_shares(report),
+        "kpi_overstays": kpi.overstays(ruled),
+        "kpi_minutes_by_rule": kpi.minutes_along_stay(along),
+    }
+    for name, df in indicators.items():
+        sinks.overwrite_table(df, f"{gold_db}.{name}")
+
+
+def snapshot_dimensions(
+    spark: SparkSession, silver_db: str, history_db: str, as_of: str
+) -> None:
+    """One more snapshot into the histories of meters and bays."""
+    sinks.ensure_database(spark, history_db)
+    steps = {"meters": parking.snapshot_meters, "bays": parking.snapshot_bays}
+    for name, step in steps.items():
+        incoming = spark.table(f"{silver_db}.parking_{name}")
+        snapshot_history(spark, f"{history_db}.{name}_history", incoming, step, as_of)
 
 
 def snapshot_history(

@@ -220,20 +220,37 @@ def dim_restrictions(restrictions: DataFrame, load_ts: Column | None = None) ->
     )
 
 
-def fact_sessions(sensors: DataFrame, load_ts: Column | None = None) -> DataFrame:
-    """Completed stays. Daily exports repeat readings, so exact repeats go first."""
-    readings = distinct_rows(sensors.select("bay_id", "status", "event_time"))
+def dim_zones(zones: DataFrame, load_ts: Column | None = None) -> DataFrame:
+    """One row per zone, with all its restriction signs in one text."""
+    signs = F.array_join(F.array_sort(F.collect_set("restriction_display")), ", ")
+    rows = zones.groupBy("zone_number").agg(signs.alias("zone_restrictions"))
+    names = {"zone_number": "zone_number", "zone_restrictions": "zone_restrictions"}
+    return marts.dimension(rows, names, load_ts=load_ts)
+
+
+def fact_sessions(
+    sensors: DataFrame, load_ts: Column | None = None, zone: bool = False
+) -> DataFrame:
+    """Completed stays, with the zone at arrival if asked for. Daily exports repeat readings,
+    so exact repeats go first."""
+    zones = ["zone_number"] if zone else []
+    readings = distinct_rows(sensors.select("bay_id", "status", "event_time", *zones))
     fact = state_sessions(
-        readings, "bay_id", "status", "event_time", OCCUPIED, FREE, tie_break=["status"]
-    )
+        readings, "bay_id", "status", "event_time", OCCUPIED, FREE,
+        tie_break=["status", *zones], carry=zones,
+    )
     return fact.withColumn("load_timestamp", load_ts) if load_ts is not None else fact
 
 
-def report(fact: DataFrame, bays: DataFrame, weekend: bool = False) -> DataFrame:
-    """The wide report over ``fact_sessions`` and ``dim_bays``."""
-    dim = bays.select("bay_id", "bay_description", "latitude", "longitude")
+def report(
+    fact: DataFrame, bays: DataFrame, weekend: bool = False, zones: DataFrame | None = None
+) -> DataFrame:
+    """The wide report over ``fact_sessions`` and ``dim_bays``, and ``dim_zones`` if given."""
+    dims = [(bays.select("bay_id", "bay_description", "latitude", "longitude"), ["bay_id"])]
+    if zones is not None:
+        dims.append((zones.select("zone_number", "zone_restrictions"), ["zone_number"]))
     wide = marts.session_report(
-        fact.drop("load_timestamp"), [(dim, ["bay_id"])], ts_type="timestamp", weekend=weekend
+        fact.drop("load_timestamp"), dims, ts_type="timestamp", weekend=weekend
     )
     first = ["session_id", "arrival_time", "departure_time", DURATION]
     return wide.select(*first, *(c for c in wide.columns if c not in (*first, "bay_id")))

@@ -140,9 +140,11 @@ def test_from_exports_to_gold(spark, raw, tmp_path, same):
     same(fact.select("bay_id", "duration_minutes", "load_timestamp"), (1, 90.0, LOADED), (2, 10.0, LOADED))
     report = spark.table("gold.rpt_parking_master")
     assert report.columns == [
-        "session_id", "arrival_time", "departure_time", "duration_minutes", "bay_description",
-        "latitude", "longitude", "arrival_hour", "stay_category",
+        "session_id", "arrival_time", "departure_time", "duration_minutes", "zone_number",
+        "bay_description", "latitude", "longitude", "zone_restrictions", "arrival_hour",
+        "stay_category",
     ]
+    same(report.select("zone_number", "zone_restrictions").distinct(), (7, "2P"))
     same(report.select("bay_description", "stay_category"), ("north", "Long Stay"), (None, "Short Stay"))
     assert spark.table("gold.dim_restrictions").columns[:5] == [
         "restriction_key", "bay_id", "rule_number", "rule_description", "max_minutes",
@@ -152,6 +154,20 @@ def test_from_exports_to_gold(spark, raw, tmp_path, same):
     failed = checks.filter("status = 'fail'").select("model", "check", "failing_rows")
     same(failed, ("fact_parking_sessions", "relationships_bay_id", 1))
 
+    jobs.run_checks(spark, "gold")
+    assert spark.table("gold.quality_report").exceptAll(checks).isEmpty()
+    jobs.build_indicators(spark, "gold")
+    same(spark.table("gold.kpi_daily").select("sessions", "total_value"), (2, 100.0))
+    same(spark.table("gold.kpi_zone_occupancy").select("zone_number").distinct(), (7,))
+    overstays = spark.table("gold.kpi_overstays").select("bay_id", "rule_number", "is_overstay")
+    same(overstays, (1, 1, True), (2, None, False))
+    along = spark.table("gold.kpi_minutes_by_rule").select("rule_type", "total_minutes")
+    same(along, ("1P Meter", 90.0), (None, 10.0))
+    for day in (1, 2):
+        jobs.snapshot_dimensions(spark, "silver", "hist", f"2024-02-0{day} 00:00:00")
+    assert spark.table("hist.meters_history").count() == 2
+    same(spark.table("hist.bays_history").select("bay_id", "valid_to"), (1, None))
+
     first = "2024-02-01 00:00:00"
     jobs.snapshot_history(spark, "gold.meters_snapshot", meters, parking.snapshot_meters, first)
     renewed = meters.withColumn("asset_id", F.lit(99))
