@@ -9,14 +9,16 @@ all other tiles are sorted (coordinate lists). Counts of chunks meet in an aggre
 pair; frequent pairs are ranked again and are the ids of the next length. A phrase can only
 be frequent if both its halves are, so nothing is lost on the way.
 
-Ranks reach a chunk by a join on what occurs in it, not by a table handed to all tasks: the
-vocabulary may grow with the corpus.
+Of each length the ``HANDED`` most frequent phrases and their ranks are handed to the tasks as
+a sorted table; ranks beyond it reach a chunk by a join on the pairs that occur in it. The
+number decides where a rank is looked up, not which phrases are found.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -26,6 +28,18 @@ from eventmart import runtime
 from eventmart.llm.textops import Texts, chunks
 
 LONGEST, LEAST, TOP = 5, 100, 2000
+#: Texts and chunks reach Python in batches of at most so many rows and bytes.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "2097152",
+    "spark.sql.parquet.columnarReaderBatchSize": "256",
+}
+#: Phrases of one length whose ranks are handed to tasks.
+HANDED = 1_000_000
+#: Distinct pairs that a task counts together before they are shuffled.
+HELD = 500_000
+#: Bytes of text in a chunk; a longer text is a chunk of its own.
+CHUNK = 1 << 20
 #: Ranks of one side of a tile, as a power of two; pairs that make a tile worth an array.
 TILE_BITS = 10
 DENSE = 1 << (2 * TILE_BITS - 4)
@@ -69,7 +83,7 @@ def _encoded(batches):
     """One row for each chunk: its distinct words with counts, and its texts as their numbers,
     with -1 before each piece. Chunk ids are fixed once the rows are written."""
     task, nth = TaskContext.get().partitionId(), 0
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", CHUNK):
         texts = Texts(batch.column("text"), lower=True)
         starts, ends, text, fresh = _words(texts)
         if not len(starts):
@@ -122,58 +136,161 @@ def count_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([c for c, _ in out]), np.concatenate([n for _, n in out])
 
 
-def _pairs(batches):
-    """(chunk, code, n) of the pairs of each chunk."""
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of several lists of codes in one list."""
+    codes = np.concatenate([c for c, _ in held])
+    times = np.concatenate([n for _, n in held])
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[first], np.add.reduceat(times[order], first)
+
+
+def _sequences(batches):
+    """(chunk, ranks) of each row."""
     for batch in batches:
         for chunk, ids in zip(batch.column("chunk").to_pylist(), batch.column("ids"), strict=True):
-            codes, times = count_pairs(np.frombuffer(ids.as_buffer(), np.int32))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": np.full(len(codes), chunk, np.int64),
-                    "code": codes,
-                    "n": times.astype(np.int64),
-                }
-            )
+            yield chunk, np.frombuffer(ids.as_buffer(), np.int32).astype(np.int64)
 
 
-def _squeezed(chunk: int, ids: np.ndarray) -> pa.Table:
-    """A chunk's sequence with runs of negative ranks shortened to one; no row if that is all."""
-    keep = ids >= 0
-    keep[1:] |= ids[:-1] >= 0
-    ids = ids[keep].astype(np.int32)
-    some = bool((ids >= 0).any())
-    return pa.table(
-        {
-            "chunk": pa.array([chunk] * some, pa.int64()),
-            "ids": pa.array([ids.tobytes()] * some, pa.binary()),
-        }
-    )
+def _pairs(batches):
+    """(code, n) of the pairs of a task's chunks, summed while they fit in ``HELD``."""
 
+    def rows(codes, times):
+        for a in range(0, len(codes), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            yield pa.RecordBatch.from_pydict(
+                {"code": codes[part], "n": times[part].astype(np.int64)}
+            )
 
-def _renamed(pairs: bool):
-    """The sequence of one chunk in new ranks, from rows (code, id) of its frequent codes."""
+    held, size = [], 0
+    for _, ids in _sequences(batches):
+        held.append(count_pairs(ids))
+        size += len(held[-1][0])
+        if size > HELD and len(held) > 1:
+            held = [_added(held)]
+            size = len(held[0][0])
+        if size > HELD:
+            yield from rows(*_added(held))
+            held, size = [], 0
+    if size:
+        yield from rows(*_added(held))
+
+
+def _codes(ids: np.ndarray) -> np.ndarray:
+    """The pair code at each place of a sequence, -1 where there is none."""
+    out = np.full(len(ids), -1, np.int64)
+    both = (ids[:-1] >= 0) & (ids[1:] >= 0)
+    out[:-1][both] = ids[:-1][both] << 32 | ids[1:][both]
+    return out
 
-    def run(key, sequence: pa.Table, ranks: pa.Table) -> pa.Table:
-        code, new = (ranks.column(c).to_numpy() for c in ("code", "id"))
-        if not len(code) or not sequence.num_rows:
-            return _squeezed(0, np.full(1, -1, np.int64))
-        ids = np.frombuffer(sequence.column("ids")[0].as_buffer(), np.int32).astype(np.int64)
-        if pairs:
-            both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-            ids = np.where(both, ids[:-1] << 32 | ids[1:], -1)
-        order = np.argsort(code)
-        code, new = code[order], new[order]
-        at = np.minimum(np.searchsorted(code, ids), len(code) - 1)
-        return _squeezed(key[0].as_py(), np.where(code[at] == ids, new[at], -1))
 
-    return run
+def _looked_up(codes: np.ndarray, known: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The rank of each code in a sorted list of known codes, -1 where it is not known."""
+    if not len(known):
+        return np.full(len(codes), -1, np.int64)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    return np.where(known[at] == codes, ranks[at], -1)
 
 
-def _renumbered(sequences: DataFrame, ranks: DataFrame, pairs: bool) -> DataFrame:
-    ranks = ranks.select(F.col("chunk").alias("of"), "code", "id")
-    both = sequences.groupBy("chunk").cogroup(ranks.groupBy("of"))
-    renamed = both.applyInArrow(_renamed(pairs), "chunk bigint, ids binary")
-    return runtime.written(renamed, "phrase-sequences")
+def _squeezed(chunk: int, ids: np.ndarray) -> dict:
+    """A chunk's sequence with runs of negative ranks shortened to one; no row if that is all."""
+    keep = ids >= 0
+    keep[1:] |= ids[:-1] >= 0
+    some = bool((ids >= 0).any())
+    return {
+        "chunk": pa.array([chunk] * some, pa.int64()),
+        "ids": pa.array([ids[keep].astype(np.int32).tobytes()] * some, pa.binary()),
+    }
+
+
+def _sorted(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    code, rank = (rows.column(c).to_numpy() for c in ("code", "id"))
+    order = np.argsort(code)
+    return code[order], rank[order]
+
+
+def _in_ranks(sequences: DataFrame, longer: DataFrame, handed: int) -> DataFrame:
+    """``sequences`` (chunk, ids) in the ranks of ``longer`` (code, id), written."""
+    spark = sequences.sparkSession
+    table = longer.where(F.col("id") < handed).select("code", "id").toArrow()
+    shared = spark.sparkContext.broadcast(_sorted(table))
+
+    def run(batches):
+        for chunk, ids in _sequences(batches):
+            ranks = _looked_up(_codes(ids), *shared.value)
+            yield pa.RecordBatch.from_pydict(_squeezed(chunk, ranks))
+
+    def distinct(batches):
+        for chunk, ids in _sequences(batches):
+            codes = np.unique(_codes(ids))
+            yield pa.RecordBatch.from_pydict({"of": np.full(len(codes), chunk), "code": codes})
+
+    def both(key, sequence: pa.Table, rest: pa.Table) -> pa.Table:
+        for chunk, ids in _sequences(sequence.to_batches()):
+            codes = _codes(ids)
+            ranks = _looked_up(codes, *shared.value)
+            return pa.table(_squeezed(chunk, np.maximum(ranks, _looked_up(codes, *_sorted(rest)))))
+        return pa.table(_squeezed(0, np.full(1, -1)))
+
+    rest = longer.where(F.col("id") >= handed).select("code", "id")
+    if rest.isEmpty():
+        renamed = sequences.mapInArrow(run, "chunk bigint, ids binary")
+    else:
+        found = sequences.mapInArrow(distinct, "of bigint, code bigint")
+        found = found.join(rest.hint("merge"), "code").select("of", "code", "id")
+        pairs = sequences.groupBy("chunk").cogroup(found.groupBy("of"))
+        renamed = pairs.applyInArrow(both, "chunk bigint, ids binary")
+    renamed = runtime.written(renamed, "phrase-sequences")
+    shared.destroy()
+    return renamed
+
+
+def _words_in_ranks(coded: DataFrame, words: DataFrame, handed: int) -> DataFrame:
+    """The chunks of ``_encoded`` as sequences (chunk, ids) of the ranks of ``words``, written."""
+    spark = coded.sparkSession
+    table = words.where(F.col("id") < handed).select("lang", "phrase", "id").toArrow()
+    # a word holds no tab, so the pair can be told from the joined text
+    names = pc.binary_join_element_wise(table.column("lang"), table.column("phrase"), "\t")
+    names = names.combine_chunks().cast(pa.large_string())
+    shared = spark.sparkContext.broadcast((names, table.column("id").to_numpy()))
+
+    def sequence(chunk, ids: bytes, listed: pa.Array, codes=None, ranks=None) -> dict:
+        names, known = shared.value
+        own = pc.binary_join_element_wise(listed.field("lang"), listed.field("word"), "\t")
+        at = pc.index_in(own.cast(pa.large_string()), value_set=names).fill_null(-1).to_numpy()
+        of = np.where(at >= 0, known[at] if len(known) else -1, -1)
+        if codes is not None:
+            of[codes] = ranks
+        local = np.frombuffer(ids, np.int32)
+        return _squeezed(chunk, np.where(local >= 0, of[local], -1))
+
+    def run(batches):
+        for batch in batches:
+            for k, chunk in enumerate(batch.column("chunk").to_pylist()):
+                ids, words = batch.column("ids")[k].as_py(), batch.column("words")[k].values
+                yield pa.RecordBatch.from_pydict(sequence(chunk, ids, words))
+
+    def both(key, chunk: pa.Table, rest: pa.Table) -> pa.Table:
+        for batch in chunk.to_batches():
+            ids, words = batch.column("ids")[0].as_py(), batch.column("words")[0].values
+            return pa.table(sequence(key[0].as_py(), ids, words, *_sorted(rest)))
+        return pa.table(_squeezed(0, np.full(1, -1)))
+
+    rest = words.where(F.col("id") >= handed).select("lang", "phrase", "id")
+    if rest.isEmpty():
+        ranked_ = coded.mapInArrow(run, "chunk bigint, ids binary")
+    else:
+        listed = coded.select(F.col("chunk").alias("of"), F.posexplode("words").alias("code", "w"))
+        listed = listed.select(
+            "of", F.col("code").cast("bigint").alias("code"), "w.lang", F.col("w.word").alias("phrase")
+        )
+        found = listed.join(rest.hint("merge"), ["lang", "phrase"]).select("of", "code", "id")
+        pairs = coded.groupBy("chunk").cogroup(found.groupBy("of"))
+        ranked_ = pairs.applyInArrow(both, "chunk bigint, ids binary")
+    ranked_ = runtime.written(ranked_, "phrase-sequences")
+    shared.destroy()
+    return ranked_
 
 
 def ranked(rows: DataFrame, *order: Column) -> DataFrame:
@@ -277,6 +394,7 @@ def phrases(
     lang: str = "lang",
     least: int = LEAST,
     longest: int = LONGEST,
+    handed: int = HANDED,
 ) -> DataFrame:
     """(lang, phrase, a, l, r, n, score): every phrase of two to ``longest`` words that occurs
     at least ``least`` times, unless a longer one holds it as often.
@@ -289,28 +407,27 @@ def phrases(
     A null text is empty, a null language is ``und``. Repeated rows count each; an empty table
     gives no rows. Other columns are not read. Long texts are read whole, in one chunk each.
     """
+    with runtime.settings(docs.sparkSession, **BATCHES):
+        return _phrases(docs, text, lang, least, longest, handed)
+
+
+def _phrases(
+    docs: DataFrame, text: str, lang: str, least: int, longest: int, handed: int
+) -> DataFrame:
     docs = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     coded = runtime.written(docs.mapInArrow(_encoded, _CHUNK), "phrase-chunks")
     totals = coded.select(F.inline("words")).groupBy("lang").agg(F.sum("n").alias("n"))
     totals = runtime.written(totals, "phrase-totals")
     parts = _frequent_words(coded, least)
-    numbers = coded.select("chunk", F.posexplode("words").alias("code", "w")).select(
-        "chunk", F.col("code").cast("bigint").alias("code"), "w.lang", F.col("w.word").alias("phrase")
-    )
-    ranks = numbers.join(parts.select("lang", "phrase", "id").hint("merge"), ["lang", "phrase"])
-    sequences = _renumbered(coded.select("chunk", "ids"), ranks, False)
+    sequences = _words_in_ranks(coded, parts, handed)
     runtime.released(coded)
     found, before = [], None
     for words in range(2, longest + 1):
-        counts = runtime.written(
-            sequences.mapInArrow(_pairs, "chunk bigint, code bigint, n bigint"), "phrase-pairs"
-        )
+        counts = sequences.mapInArrow(_pairs, "code bigint, n bigint")
         longer = _frequent_pairs(counts, parts, least)
         if words < longest:
-            ranks = counts.join(longer.select("code", "id").hint("merge"), "code")
-            shorter, sequences = sequences, _renumbered(sequences, ranks, True)
+            shorter, sequences = sequences, _in_ranks(sequences, longer, handed)
             runtime.released(shorter)
-        runtime.released(counts)
         if before is not None:
             found.append((_not_inside(before, longer), words - 1))
         parts = before = longer

@@ -175,14 +175,16 @@ def shingles(texts: Texts, n: int = 5) -> list[np.ndarray]:
     return out
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``CHUNK`` bytes of text."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str, size: int = CHUNK
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text."""
     for batch in batches:
         ends = Texts(batch.column(text)).offsets[1:]
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
-            upto = max(at + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
+            upto = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
             yield batch.slice(at, upto - at)
             at = upto
 
