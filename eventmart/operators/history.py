@@ -116,7 +116,7 @@ def join_as_of(
     ts: str,
     closed: str = "left",
     how: str = "inner",
-    versions_per_slice: int | str | None = "carry",
+    versions_per_slice: int | str | None = 64,
     slice_seconds: int = AS_OF_SECONDS,
 ) -> DataFrame:
     """Each fact row with the versions of its key valid at ``ts``.
@@ -125,15 +125,20 @@ def join_as_of(
     history; ``"both"`` takes BETWEEN, which gives two rows on the very instant of a change.
     A NULL ``valid_to`` is open.
 
-    Facts and versions are one stream, sorted by time in each key and slice of time, in which
-    the last version is carried along; no fact is compared with a version it does not meet.
-    Over the edges of slices the version is carried once for each slice in use. A version that
-    runs past the start of the key's next one cannot be carried: it is handed to all slices it
-    overlaps, up to the last one in use. The slices only deal out the work.
-
-    A number or ``None`` for ``versions_per_slice`` joins on the key instead, keys with more
-    versions than that cut into slices; a history small enough to be broadcast then leaves
-    the facts where they are. So do joins other than inner and left.
+    An equi-join on the key with the range as a residual would compare every fact of a key
+    with all its versions. Keys with more than ``versions_per_slice`` versions are therefore
+    cut into time slices that become part of the join key; a version is copied only into the
+    slices it overlaps. Which side is broadcast is left to the measured sizes, and a
+    fact-heavy key is split by the adaptive skew join. ``None`` never cuts.
+
+    ``versions_per_slice="carry"`` is for keys with very many facts and versions: both are one
+    stream, sorted by time in each key and slice of ``slice_seconds``, in which the last
+    version is carried along, so no fact is compared with a version it does not meet. Over
+    the edges of slices the version is carried once for each slice in use. A version that runs
+    past the start of the key's next one cannot be carried: it is handed to all slices it
+    overlaps, up to the last one in use. It sorts all facts and has more stages, so it is the
+    slower way for keys with few versions. The slices only deal out the work. For joins other
+    than inner and left, ``"carry"`` is the equi-join on the key.
     """
     if closed not in ("left", "both"):
         raise ValueError("closed must be 'left' or 'both'")
@@ -198,8 +203,7 @@ def _by_carry(
     so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     held = ["__v", "__e"] if both else ["__v"]
     seen = [F.last(c, ignorenulls=True).over(so_far).alias(f"{c}_seen") for c in held]
-    # all columns go into the test, so that both readers below need the same exchange
-    is_last = F.lead(F.struct("__f", *held)).over(in_slice).isNull()
+    is_last = F.lead("__kind").over(in_slice).isNull()
     walked = stream.select(*group, "__at", "__kind", "__f", *seen, is_last.alias("__last"))
     walked = walked.withColumnsRenamed({f"{c}_seen": c for c in held})
     met = walked.filter("__kind = 2").drop("__kind", "__last")

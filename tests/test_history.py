@@ -197,7 +197,7 @@ def test_as_of_by_carry_matches_plain_python(spark, versions, facts, closed, how
     out = history.join_as_of(
         spark.createDataFrame(rows, FACT),
         spark.createDataFrame([*versions, (None, "n", DAYS[0], None)], HIST),
-        ["id"], "at", closed=closed, how=how, slice_seconds=seconds,
+        ["id"], "at", closed=closed, how=how, versions_per_slice="carry", slice_seconds=seconds,
     )
     want = []
     for k, at, n in rows:
@@ -213,18 +213,18 @@ def test_as_of_by_carry_matches_plain_python(spark, versions, facts, closed, how
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_as_of_reads_each_side_at_most_twice(spark, tmp_path):
+def test_as_of_by_carry_joins_on_no_key_alone(spark, tmp_path):
     facts = [(k, DAYS[0] + timedelta(hours=h), h) for k in range(3) for h in range(50)]
     hist = [(k, str(h), DAYS[0] + timedelta(hours=h), DAYS[0] + timedelta(hours=h + 5))
             for k in range(3) for h in range(0, 50, 5)]
     spark.createDataFrame(facts, FACT).write.parquet(f"{tmp_path}/facts")
     spark.createDataFrame(hist, HIST).write.parquet(f"{tmp_path}/hist")
     out = history.join_as_of(
-        spark.read.parquet(f"{tmp_path}/facts"), spark.read.parquet(f"{tmp_path}/hist"), ["id"], "at"
-    )
+        spark.read.parquet(f"{tmp_path}/facts"), spark.read.parquet(f"{tmp_path}/hist"),
+        ["id"], "at", versions_per_slice="carry",
+    )
     assert out.count() == 150
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    for side in ("facts", "hist"):
-        scans = [line for line in plan.splitlines() if "FileScan" in line and f"/{side}" in line]
-        assert 1 <= len(scans) <= 2
+    joins = [line for line in plan.splitlines() if "Join" in line and "Cross" not in line]
+    assert joins and all("__slice" in line for line in joins)
