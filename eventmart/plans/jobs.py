@@ -115,14 +115,16 @@ def load_new_exports(
     if files.latest_snapshot(spark, raw_dir, prefix) is None:
         return
     every = f"{raw_dir}/{files.snapshot_glob(prefix)}"
+    separator = files.file_separator(spark, every)
     raw = io.read_json_stream(
         spark,
         raw_dir,
         files.with_unknown(spark, every, parking.RAW[prefix]),
         archive_dir=consumed_dir,
-        multi_line=True,
+        multi_line=separator is None,
         glob=files.snapshot_glob(prefix),
         rescue=layers.RESCUE,
+        separator=separator,
     )
 
     def land(batch: DataFrame, number: int) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ JSON_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# Bytes of a file that still fit into one record; a JVM array ends at 2^31.
+ONE_RECORD = 2_000_000_000
+
 
 def snapshot_glob(prefix: str) -> str:
     """Files named ``<prefix>_<yyyymmdd_HHMMSS>.json``, but not those of longer prefixes."""
@@ -51,6 +55,26 @@ def with_unknown(
     return merged(schema, T.StructType([T.StructField(n, T.StringType()) for n in found]))
 
 
+def file_separator(spark: SparkSession, path: str | list[str]) -> str | None:
+    """A ``lineSep`` that no file of ``path`` holds, so that each file is one record.
+
+    Multi-line mode cuts the text of a value that is no string, in a column declared as text,
+    from the file anew: one more read for each value, of some 8 KB at least. A record in
+    memory gives the same text without that. JSON cannot hold the separator: a plain NUL
+    would have to be escaped. None if files are compressed, too large for a record, or not
+    UTF-8; these need multi-line mode. Costs one more read of the files, without parsing.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    large = F.col("length") > ONE_RECORD
+    packed = F.col("path").rlike(r"[.](gz|deflate|bz2|snappy|lz4|zst|passthrough)$")
+    # first bytes by which the parser takes a file for UTF-16 or UTF-32
+    wide = F.hex(F.substring("content", 1, 4)).rlike("^(FEFF|FFFE|(..){0,3}00)")
+    for odd in (large | packed, wide):  # the first needs no content
+        if listing.agg(F.bool_or(odd)).first()[0]:
+            return None
+    return f"\0{uuid.uuid4().hex}\0"
+
+
 def read_json_snapshots(
     spark: SparkSession,
     directory: str,
@@ -85,7 +109,10 @@ def read_json_snapshots(
     reader = spark.read.schema(rescued(schema, rescue)).options(**JSON_TIMES)
     if rescue:
         reader = reader.option("columnNameOfCorruptRecord", rescue)
-    return reader.option("multiLine", multi_line).json(path)
+    separator = file_separator(spark, path) if multi_line else None
+    if separator:
+        reader = reader.option("lineSep", separator)
+    return reader.option("multiLine", multi_line and separator is None).json(path)
 
 
 def rescued(schema: T.StructType, rescue: str | None) -> T.StructType:

@@ -26,13 +26,17 @@ def read_json_stream(
     multi_line: bool = False,
     glob: str | None = None,
     rescue: str | None = None,
+    separator: str | None = None,
 ) -> DataFrame:
     """JSON files as they land. ``archive_dir`` moves consumed files away, one batch late;
-    ``rescue`` names a column for the text of records that cannot be read."""
+    ``rescue`` names a column for the text of records that cannot be read. ``separator`` is
+    what ends a record if it is no line, as from ``files.file_separator``."""
     reader = spark.readStream.schema(rescued(schema, rescue))
     if rescue:
         reader = reader.option("columnNameOfCorruptRecord", rescue)
     reader = reader.option("multiLine", multi_line).options(**JSON_TIMES)
+    if separator:
+        reader = reader.option("lineSep", separator)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir:

@@ -1,7 +1,11 @@
 """What landing must keep: undeclared columns, unreadable records, open stays."""
 
+import gzip
 import json
 
+import pytest
+from pyspark.sql import types as T
+
 from eventmart.operators import kpi
 from eventmart.operators.sessions import state_sessions
 from eventmart.plans import jobs
@@ -80,3 +84,71 @@ def test_rule_with_unreadable_day_is_left_out(spark, table, same):
     )
     ruled = kpi.rule_in_force(stays, rules, "bay", "t")
     same(ruled.select("bay", "rule.type"), (1, "second"), (None, None))
+
+
+DECLARED = T.StructType([T.StructField(n, T.StringType()) for n in ("u", "v")])
+
+
+def read_bytes(spark):
+    """Bytes read from local files by this process so far."""
+    files_ = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    return files_.getLong("bytesRead")
+
+
+def test_undeclared_values_cost_no_read_each(spark, tmp_path):
+    raw, archive = tmp_path / "raw", str(tmp_path / "archive")
+    raw.mkdir()
+    export = raw / "parking_sensors_20240101_000000.json"
+    rows = [{"kerbsideid": i, "level": i / 4, "place": [i]} for i in range(2_000)]
+    export.write_text(json.dumps(rows, indent=2))
+    read = (
+        lambda: jobs.load_export(spark, str(raw), "parking_sensors", archive),
+        lambda: jobs.load_new_exports(
+            spark, str(raw), "parking_sensors", f"{archive}_s", str(tmp_path / "cp")
+        ),
+    )
+    for job, at in zip(read, (archive, f"{archive}_s"), strict=True):
+        before = read_bytes(spark)
+        job()
+        assert read_bytes(spark) - before < 20 * export.stat().st_size
+        landed = spark.read.parquet(f"{at}/parking_sensors")
+        assert landed.filter("level = cast(kerbsideid / 4 AS string)").count() == 2_000
+
+
+@pytest.mark.parametrize(
+    "body",
+    (
+        b'[ {"u": 1.10, "v": -0}, {"u":7 ,"v":8\n}, {"v": [ 1,  2 ], "u":{ "a" : 1.0 }} ]\n',
+        b'[\r\n {\r\n "u": 5\r\n }\r\n]\r\n',
+        b'{"u": 1e5, "v": 12345678901234567890123.4500}\n{"u": 2}\n',
+        b'[{"u": 1}, {"u": 2',
+        b"[]",
+        b" \n",
+        b'[null, {"u": 1}]',
+        b'[{"u": "a\x00b", "v": 5}]',
+        b'\xef\xbb\xbf[{"u": 5}]',
+        '[{"u": {"\u00df" : "\u6f22"}, "v": true}]'.encode(),
+        '[{"u": "x", "v": 5}]'.encode("utf-16"),
+        '[{"u": "x", "v": 5}]'.encode("utf-32-be"),
+    ),
+)
+def test_a_file_as_one_record_gives_what_multi_line_mode_gives(spark, tmp_path, body):
+    for name, content in (("part-0.json", body), ("part-1.json.gz", gzip.compress(body))):
+        folder = tmp_path / name[:6] / "t_20240101_000000.json"
+        folder.mkdir(parents=True)
+        (folder / name).write_bytes(content)
+        got = files.read_json_snapshots(spark, str(folder.parent), "t", DECLARED, rescue="bad")
+        reader = spark.read.schema(got.schema).option("columnNameOfCorruptRecord", "bad")
+        expected = reader.option("multiLine", True).json(str(folder)).collect()
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, expected))
+        assert got.count() == len(expected)
+
+
+def test_files_that_are_no_record_are_read_as_before(spark, tmp_path, monkeypatch):
+    path = tmp_path / "t_20240101_000000.json"
+    path.write_text('[{"u": 1.50}, {"v": 2}]')
+    assert files.file_separator(spark, str(path)).startswith("\0")
+    monkeypatch.setattr(files, "ONE_RECORD", 10)
+    assert files.file_separator(spark, str(path)) is None
+    got = files.read_json_snapshots(spark, str(tmp_path), "t", DECLARED)
+    assert sorted(map(repr, got.collect())) == ["Row(u='1.50', v=None)", "Row(u=None, v='2')"]
