@@ -37,10 +37,12 @@ PERCENT = 80
 COMMON, MAX_COMMON = 24, 1_000_000
 #: Shingles counted together before they are shuffled, and per group after.
 COUNT_BATCH, COUNT_GROUP = 1_000_000, 1_000_000
-#: Texts reach Python in batches of at most so many rows and bytes.
-BATCHES = {
+#: Texts reach Python in batches of at most so many rows and bytes. What a table was shuffled
+#: by goes once it is written; else it stays until the driver happens to collect its garbage.
+SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 #: Rows of one tile held at once, rows of a block, and rows of a unit on a side of one task.
 HELD, BLOCK, DEALT = 100_000, 512, 512
@@ -285,36 +287,60 @@ def _blocks(nearest: bool):
     the partner before it with fewest differing bits, and one such pair for two components.
     """
 
-    def folded(rows, width):
-        parts = [np.frombuffer(r["bitmap"], np.uint64).reshape(-1, width) for r in rows]
-        return np.stack([np.bitwise_or.reduce(p, axis=0) for p in parts])
+    def folded(bits, width):
+        return np.bitwise_or.reduce(bits.reshape(len(bits), -1, width), axis=1)
+
+    def refined(x, y, at_i, at_j):
+        """Differing bits of some pairs; so many at once that they take a few MB."""
+        step = max(1, (1 << 19) // x.shape[1])
+        parts = [
+            np.bitwise_count(x[at_i[k : k + step]] ^ y[at_j[k : k + step]]).sum(1, np.int64)
+            for k in range(0, len(at_i), step)
+        ]
+        return np.concatenate([np.empty(0, np.int64), *parts])
+
+    def blocks_of(rows):
+        """Rows and bitmaps of each block. All of a block are of one width: a bitmap folded
+        to the width of a much smaller set is full, and bounds nothing."""
+        width = np.array([len(r["bitmap"]) // 8 for r in rows])
+        runs = [0, *(np.flatnonzero(width[1:] != width[:-1]) + 1), len(rows)]
+        for start, end in zip(runs, runs[1:], strict=False):
+            for a in range(start, end, BLOCK):
+                some = rows[a : min(a + BLOCK, end)]
+                bits = np.frombuffer(b"".join(r["bitmap"] for r in some), np.uint64)
+                yield slice(a, a + len(some)), bits.reshape(len(some), -1)
 
     def pairs_of(rows):
         n, comp, side, doc = (
             np.array([r[c] for r in rows], np.int64) for c in ("n", "comp", "side", "doc_id")
         )
         crossed = rows[0]["g1"] != rows[0]["g2"]
-        for a in range(0, len(rows), BLOCK):
-            i = slice(a, a + BLOCK)
-            for b in range(a, len(rows), BLOCK):
-                if 100 * n[i][-1] < PERCENT * n[b]:
+        blocks = list(blocks_of(rows))
+        for a, (i, bits_i) in enumerate(blocks):
+            for j, bits_j in blocks[a:]:
+                if 100 * n[i][-1] < PERCENT * n[j][0]:
                     break  # sizes only grow from here
-                j = slice(b, b + BLOCK)
                 ok = (comp[i][:, None] != comp[j][None]) & (
                     100 * n[i][:, None] >= PERCENT * n[j][None]
                 )
-                if a == b:
+                if i == j:
                     ok = np.triu(ok, 1)
                 if crossed:
                     ok &= side[i][:, None] != side[j][None]
                 if not ok.any():
                     continue
-                width = min(len(rows[a]["bitmap"]), len(rows[b]["bitmap"])) // 8
-                x, y = folded(rows[i], width), folded(rows[j], width)
-                differ = np.zeros(ok.shape, np.int64)
-                for k in range(width):
-                    differ += np.bitwise_count(x[:, k][:, None] ^ y[:, k][None])
+                width = min(bits_i.shape[1], bits_j.shape[1])
+                x, y = folded(bits_i, width), folded(bits_j, width)
                 size = n[i][:, None] + n[j][None]
+                # a quarter of the width settles most pairs, the whole of it the others
+                coarse = max(1, width // 4)
+                u, v = folded(x, coarse), folded(y, coarse)
+                differ = np.zeros(ok.shape, np.int64)
+                for k in range(coarse):
+                    differ += np.bitwise_count(u[:, k][:, None] ^ v[:, k][None])
+                ok &= (100 + PERCENT) * ((size - differ) // 2) >= PERCENT * size
+                at = np.nonzero(ok)
+                differ[at] = refined(x, y, *at)
                 ok &= (100 + PERCENT) * ((size - differ) // 2) >= PERCENT * size
                 if nearest:
                     # shares of differing bits order candidates of different sizes
@@ -418,12 +444,12 @@ def _texts(docs: DataFrame, *ids: DataFrame) -> DataFrame:
     return runtime.written(kept, "jaccard-texts")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """Those of the written ``pairs`` (a, b) whose exact Jaccard reaches the threshold, written.
 
     Each member's text goes once to each of its leaders; a leader of many is salted.
     """
-    near = _texts(texts, pairs.select(F.col("a").alias("doc_id")), pairs.select("b"))
+    near = _texts(docs, pairs.select(F.col("a").alias("doc_id")), pairs.select("b"))
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(256)).cast("int").alias("k"))
     salts = runtime.written(salts, "jaccard-salts")
     by_b = near.select(F.col("doc_id").alias("b"), "text")
@@ -456,7 +482,7 @@ def near_duplicates(
     row with a null doc_id links with nothing and has a null component_id. Other columns are
     not read.
     """
-    with runtime.settings(docs.sparkSession, **BATCHES):
+    with runtime.settings(docs.sparkSession, **SETTINGS):
         return _near_duplicates(docs, text, doc_id, words)
 
 
@@ -517,14 +543,7 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> Dat
         tiles.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(),
         bits,
     )
-    # texts are read from the input once; all that follows takes them from here
-    texts = _texts(
-        docs,
-        first.select(F.col("a").alias("doc_id")),
-        first.select("b"),
-        tiles.where("kind = 1").select("y"),
-    )
-    links = _verified(first, texts, words)
+    links = _verified(first, docs, words)
     runtime.released(first)
     comps = connected_components(links)
 
@@ -555,7 +574,7 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> Dat
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = runtime.written(pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        links = links.union(_verified(pairs, texts, words))
+        links = links.union(_verified(pairs, docs, words))
         if nearest:
             comps = connected_components(links)
             named = comps.withColumnRenamed("id", "doc_id")
@@ -566,7 +585,7 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, words: int) -> Dat
                 "jaccard-units",
             )
             runtime.released(before, comps)
-    runtime.released(texts, units)
+    runtime.released(units)
     every = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     final = connected_components(every)
     return sig.join(final, sig.doc_id == final.id, "left").select(

@@ -335,3 +335,40 @@ def test_a_carried_run_keeps_its_last_row(monkeypatch):
         rows = [r for b in jaccard_join._tiles(iter(batches)) for r in b.to_pylist()]
         assert {r["y"] for r in rows if r["kind"] == 1 and r["x"] == 7} == {1, 2, 3, 4, 5, 500}
         assert not [r for r in rows if r["kind"] == 1 and r["x"] == 8]
+
+
+# --- 10: pairs of a unit
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_a_unit_of_uneven_sets_gives_the_pairs_within_the_bound_of_whole_bitmaps(monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rng = np.random.default_rng(10)
+
+    def fresh(n):
+        return rng.integers(0, 2**64, n, np.uint64)
+
+    sets = [fresh(n) for n in (9, 12, 33, 40, 900, 1000, 1100, 3000, 3000, 3100, 3300, 9000, 9100)]
+    sets += [np.r_[s[k:], fresh(k)] for s, k in ((sets[3], 2), (sets[6], 60), (sets[8], 200), (sets[12], 100))]
+    sets = dict(enumerate(sorted(sets, key=len)))
+    bits = {i: jaccard_join._bitmap(s).tobytes() for i, s in sets.items()}
+    within = {
+        (i, j)
+        for i, j in product(sets, sets)
+        if i < j and 100 * len(sets[i]) >= 80 * len(sets[j])
+        and 180 * jaccard_join.overlap_bound(bits[i], bits[j], len(sets[i]), len(sets[j]))
+        >= 80 * (len(sets[i]) + len(sets[j]))
+    }
+    near = {(i, j) for i, j in within if len(np.intersect1d(sets[i], sets[j])) > 0.8 * len(sets[i])}
+    assert len(near) == 4
+    for crossed in (False, True):
+        rows = [
+            {"unit": 0, "g1": 0, "g2": int(crossed), "n": len(s), "comp": i, "side": i % 2 * crossed,
+             "doc_id": i, "bitmap": bits[i]}
+            for i, s in sets.items()
+        ]
+        asked = {(i, j) for i, j in within if not crossed or i % 2 != j % 2}
+        for nearest in (False, True):
+            batches = jaccard_join._blocks(nearest)(iter([pa.RecordBatch.from_pylist(rows)]))
+            got = {(r["a"], r["b"]) for b in batches for r in b.to_pylist()}
+            assert got == asked if not nearest else near & asked <= got <= asked

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -520,6 +521,23 @@ def test_jaccard_of_null_ids_repeats_and_nothing(spark, same):
     assert jaccard_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_jaccard_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        names = {found.apply(i).getName() for i in range(found.size())}
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = files()
+    rows = [(k, _changed(_prose("base", 150), [k])) for k in range(20)]
+    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
+    assert {r.component_id for r in found.collect()} == {0}
+
+
 def test_digest_is_of_little_endian_ids():
     codec = piece_codec.Codec(piece_codec.load(piece_codec.default_model()))
     assert hashlib.sha256(codec.encode("")).hexdigest() == hashlib.sha256(
